@@ -56,7 +56,18 @@ def shots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def encounters(spark: SparkSession, sf_dir: str, with_shots: bool = False) -> DataFrame:
+def _first_of_day_only(raw: DataFrame) -> DataFrame:
+    # A match stays when it is the first of its date for both sides. The per-(entity, date) minimum is
+    # combined before the shuffle, so an entity with a third of all rows costs no more than its dates.
+    first_of_day = (
+        raw.select("match_id", "match_date", F.explode(F.array("home_team", "away_team")).alias("team"))
+        .groupBy("team", "match_date")
+        .agg(F.min("match_id").alias("match_id"))
+    )
+    return first_of_day.groupBy("match_id").agg(F.count("*").alias("sides")).filter("sides = 2").select("match_id")
+
+
+def encounters(spark: SparkSession, sf_dir: str, with_shots: bool = False, drop_clashes: bool = True) -> DataFrame:
     ranked = _ranked_customers(spark, sf_dir)
     home = ranked.select("competition", F.col("team").alias("home_team"), F.col("r").alias("home_rank"), "n").filter("n > 1")
     away = ranked.select("competition", F.col("team").alias("away_team"), F.col("r").alias("away_rank"))
@@ -77,17 +88,11 @@ def encounters(spark: SparkSession, sf_dir: str, with_shots: bool = False) -> Da
         .withColumn("odds_draw", 2.0 + (key % 13) / 10.0)
         .withColumn("odds_away", 1.2 + (key % 29) / 10.0)
     )
-    # A match stays when it is the first of its date for both sides. The per-(entity, date) minimum is
-    # combined before the shuffle, so an entity with a third of all rows costs no more than its dates.
-    first_of_day = (
-        raw.select("match_id", "match_date", F.explode(F.array("home_team", "away_team")).alias("team"))
-        .groupBy("team", "match_date")
-        .agg(F.min("match_id").alias("match_id"))
-    )
-    kept = first_of_day.groupBy("match_id").agg(F.count("*").alias("sides")).filter("sides = 2").select("match_id")
+    if drop_clashes:
+        raw = raw.join(_first_of_day_only(raw), "match_id")
     start = F.year("match_date") - F.when(F.month("match_date") < 8, 1).otherwise(0)
     season = F.concat(start.cast("string"), F.lit("-"), F.lpad(((start + 1) % 100).cast("string"), 2, "0"))
-    out = raw.join(kept, "match_id").select(
+    out = raw.select(
         "match_id",
         "competition",
         "match_date",
@@ -155,3 +160,57 @@ def with_enc(body: str, ctes: str = "", recursive: bool = False) -> str:
     head = "with recursive" if recursive else "with"
     tail = f",\n{ctes.strip()}" if ctes else ""
     return f"{head}{ENC_SQL}{tail}\n{body.strip()}"
+
+
+# Raw text rows as a season file would hold them, with every kind of defect. The expressions run unchanged in
+# both engines.
+_D, _M, _Y = (
+    "lpad(cast(day(o_orderdate) as string), 2, '0')",
+    "lpad(cast(month(o_orderdate) as string), 2, '0')",
+    "cast(year(o_orderdate) as string)",
+)
+RAW_EXPRESSIONS = {
+    "row_id": "o_orderkey",
+    "Date": f"case o_orderkey % 6 when 0 then concat({_D}, '/', {_M}, '/', {_Y})"
+    f" when 1 then concat({_D}, '/', {_M}, '/', right({_Y}, 2))"
+    f" when 2 then concat({_Y}, '-', {_M}, '-', {_D})"
+    f" when 3 then concat({_M}, '/', {_D}, '/', {_Y})"
+    f" when 4 then concat(' ', {_D}, '/', {_M}, '/', {_Y}, ' ')"
+    " else case when o_orderkey % 12 = 5 then 'n/a' else null end end",
+    "Time": "case o_orderkey % 4 when 0 then null when 1 then '15:30' when 2 then 'late' else '7:05' end",
+    "HomeTeam": "case o_orderkey % 17 when 0 then ' Man United ' when 1 then 'Spurs' when 2 then null"
+    " when 3 then 'Newcastle' else concat('T', cast(o_custkey % 500 as string)) end",
+    "AwayTeam": "case o_orderkey % 19 when 0 then concat('T', cast(o_custkey % 500 as string)) when 1 then 'Wolves '"
+    " when 2 then null else concat(' T', cast((o_custkey * 7 + o_orderkey) % 500 as string)) end",
+    "FTHG": "case o_orderkey % 23 when 0 then 'x' when 1 then null"
+    " else cast(cast(floor(o_totalprice) as bigint) % 5 as string) end",
+    "FTAG": "cast(cast(floor(o_totalprice / 7) as bigint) % 4 as string)",
+    "FTR": "case o_orderkey % 7 when 0 then null when 1 then 'h' when 2 then 'A' when 3 then 'H' when 4 then 'D' else '' end",
+    "PSH": "case when o_orderkey % 13 = 0 then '' else cast((100 + o_orderkey % 300) / 100.0e0 as string) end",
+    "PSD": "case when o_orderkey % 29 = 0 then 'evs' else cast((200 + o_orderkey % 130) / 100.0e0 as string) end",
+    "PSA": "cast((120 + o_orderkey % 290) / 100.0e0 as string)",
+    "WHH": "'9.0'",
+    "WHD": "'9.0'",
+    "WHA": "'9.0'",
+}
+
+
+def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr(*[f"{e} as {n}" for n, e in RAW_EXPRESSIONS.items()])
+
+
+RAWT_SQL = "rawt as (select " + ", ".join(f'{e} as "{n}"' for n, e in RAW_EXPRESSIONS.items()) + " from orders)"
+
+_TXT = 'trim("Date")'
+DATE_SQL = (
+    f"cast(case when regexp_matches({_TXT}, '^[0-9]+/[0-9]+/[0-9]{{4}}$')"
+    f" then coalesce(try_strptime({_TXT}, '%d/%m/%Y'), try_strptime({_TXT}, '%m/%d/%Y'))"
+    f" when regexp_matches({_TXT}, '^[0-9]+/[0-9]+/[0-9]{{2}}$')"
+    f" then coalesce(try_strptime({_TXT}, '%d/%m/%y'), try_strptime({_TXT}, '%m/%d/%y'))"
+    f" else try_strptime({_TXT}, '%Y-%m-%d') end as date)"
+)
+
+
+def alias_sql(column: str, aliases: dict[str, str]) -> str:
+    cases = " ".join("when '{}' then '{}'".format(k.replace("'", "''"), v) for k, v in aliases.items())
+    return f'case trim("{column}") {cases} else trim("{column}") end'

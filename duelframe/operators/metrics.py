@@ -148,7 +148,7 @@ def calibration_curve(df: DataFrame, bins: int = 10, label: str = "ftr", probs:
     edges = grouped_quantiles(long, ["class"], "p", [i / bins for i in range(1, bins)])
     number = sum(((F.col(f"q{i}") < F.col("p")).cast("int") for i in range(bins - 1)), F.lit(0))
     return (
-        values.join(edges, "class")
+        values.join(F.broadcast(edges), "class")  # three rows of edges, one per class
         .groupBy("class", number.alias("bin"))
         .agg(
             F.sum("c").alias("n_rows"),

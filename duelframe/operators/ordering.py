@@ -27,7 +27,8 @@ def _with_offsets(placed: DataFrame, total: Column) -> DataFrame:
     totals = placed.groupBy("_part").agg(total.alias("_total"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_part", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
-    return placed.join(offsets, "_part")
+    # Broadcast is safe: one row per partition, whatever the number of rows.
+    return placed.join(F.broadcast(offsets), "_part")
 
 
 def dense_index(df: DataFrame, order: Sequence[str | Column], name: str = "match_id") -> DataFrame:
@@ -47,6 +48,8 @@ def running_total(df: DataFrame, order: Sequence[str | Column], value: str, name
 def grouped_quantiles(df: DataFrame, group: Sequence[str], value: str, probabilities: Sequence[float]) -> DataFrame:
     """Exact linear-interpolation quantiles per group: columns ``q0``, ``q1``, … and ``n``.
 
+    ``group`` must take values from a fixed short list.
+
     Equal values are counted before the shuffle, so a value shared by most rows is one row from then on; order
     statistics come from a running total instead of a value map held in one task.
     """
@@ -55,7 +58,8 @@ def grouped_quantiles(df: DataFrame, group: Sequence[str], value: str, probabili
     base = cum.groupBy(*group).agg(
         F.min(F.col("_cum") - F.col("_cnt")).alias("_base"), F.sum("_cnt").alias("n")
     )
-    ranked = cum.join(base, list(group)).withColumn("_upto", F.col("_cum") - F.col("_base"))
+    # ``group`` names a fixed set (classes, feature names), so there are only that many rows to broadcast.
+    ranked = cum.join(F.broadcast(base), list(group)).withColumn("_upto", F.col("_cum") - F.col("_base"))
     picks = []
     for i, q in enumerate(probabilities):
         low = F.floor((F.col("n") - 1) * F.lit(float(q)))
