@@ -1,0 +1,78 @@
+"""Seeded synthetic encounters for trials, generated where they are needed, partition by partition."""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Default row count, seed, goal rates, calendar, and half-open ranges of the uniform statistics.
+ROWS = 3040
+SEED = 42
+HOME_RATE, AWAY_RATE = 1.5, 1.2
+START, DAYS = "2017-08-01", 365
+POISSON_RANGES = {"shots": (8, 20), "shots_on_target": (2, 8), "corners": (2, 12), "fouls": (8, 16)}
+UNIFORM_GOALS = {"home": (0, 6), "away": (0, 5)}
+UNIFORM_RANGES = {
+    "shots": ((5, 26), (3, 21)),
+    "shots_on_target": ((2, 11), (1, 9)),
+    "corners": ((2, 13), (1, 11)),
+    "fouls": ((6, 19), (6, 19)),
+}
+
+
+def _between(low: int, high: int, seed: int) -> Column:
+    return (F.floor(F.rand(seed) * (high - low)) + low).cast("int")
+
+
+def poisson(rate: float, seed: int, largest: int = 20) -> Column:
+    """Poisson draw by inverting the cumulative distribution on one uniform number."""
+    u = F.rand(seed)
+    total, ladder = 0.0, []
+    for k in range(largest):
+        total += math.exp(-rate) * rate**k / math.factorial(k)
+        ladder.append((u >= F.lit(total)).cast("int"))
+    return sum(ladder[1:], ladder[0])
+
+
+def generate(spark: SparkSession, n: int = ROWS, entities: Sequence[str] | int = 20, mode: str = "poisson", seed: int = SEED) -> DataFrame:
+    """``n`` encounters; ``mode`` is ``poisson`` (dates within a year) or ``uniform`` (ten seasons)."""
+    names = [f"Entity {i:02d}" for i in range(entities)] if isinstance(entities, int) else list(entities)
+    array = F.array(*[F.lit(x) for x in names])
+    m = len(names)
+    # Every random number becomes a column once, so later expressions see the same draw.
+    base = spark.range(n).withColumns({"_h": _between(0, m, seed), "_step": _between(1, m, seed + 1)})
+    base = base.withColumn("_a", (F.col("_h") + F.col("_step")) % m)
+    if mode == "poisson":
+        base = base.withColumns(
+            {
+                "date": F.date_add(F.to_date(F.lit(START)), _between(0, DAYS, seed + 2)),
+                "home_goals": poisson(HOME_RATE, seed + 3),
+                "away_goals": poisson(AWAY_RATE, seed + 4),
+            }
+        ).withColumn("season", F.year("date"))
+        ranges = {k: (v, v) for k, v in POISSON_RANGES.items()}
+    elif mode == "uniform":
+        base = base.withColumns(
+            {
+                "season": (F.col("id") * 10 / n).cast("int") + 2017,
+                "_month": _between(1, 13, seed + 2),
+                "_day": _between(1, 29, seed + 5),
+                "home_goals": _between(*UNIFORM_GOALS["home"], seed + 3),
+                "away_goals": _between(*UNIFORM_GOALS["away"], seed + 4),
+            }
+        ).withColumn("date", F.make_date("season", "_month", "_day"))
+        ranges = UNIFORM_RANGES
+    else:
+        raise ValueError(f"unknown mode: {mode}")
+    stats = {}
+    for i, (stat, (home, away)) in enumerate(ranges.items()):
+        stats[f"home_{stat}"] = _between(*home, seed + 10 + 2 * i)
+        stats[f"away_{stat}"] = _between(*away, seed + 11 + 2 * i)
+    out = base.withColumns(stats | {"home_team": array[F.col("_h")], "away_team": array[F.col("_a")]})
+    result = F.when(F.col("home_goals") > F.col("away_goals"), "H").when(F.col("home_goals") < F.col("away_goals"), "A").otherwise("D")
+    return out.withColumn("result", result).select(
+        "season", "date", "home_team", "away_team", "home_goals", "away_goals", *stats, "result"
+    )
