@@ -79,7 +79,7 @@ def sweep_ratings(narrow: DataFrame, params: dict = ELO, block_days: int = BLOCK
             long = long.join(state.withColumnRenamed("elo", "base"), "team", "left")
             long = long.withColumn("base", F.coalesce("base", F.lit(start)))
         # Match payload travels with the entity rows, so a sweep needs no join: entity order, then match pairs.
-        guess = stage(long.withColumns({"own": F.col("base"), "other": F.lit(start)}), "elo-sweep")
+        guess = stage(long.withColumn("own", F.col("base")), "elo-sweep")
         moved = float("inf")
         by_match = Window.partitionBy("match_id")
         history = Window.partitionBy("team").orderBy(*_ORDER)
