@@ -8,8 +8,8 @@ from duelframe.catalog.base import query
 from duelframe.catalog.ordering import CANDIDATES_SQL, F1_SQL, ROW_LOSS_SQL, candidates
 from duelframe.catalog.scalars import IMPLIED_SQL, PREDICTED_SQL, raw_sql, typed_rows, with_probabilities
 from duelframe.catalog.scalars import TYPED_SQL
-from duelframe.catalog.testbed import encounters, table, with_enc
-from duelframe.operators import clean, metrics, models, splits
+from duelframe.catalog.testbed import encounters, stored, with_enc
+from duelframe.operators import metrics, models, splits
 
 # Season lists used by every split of the derived encounters.
 SEASONS = {
@@ -193,7 +193,7 @@ def moments(spark, sf):
     ),
 )
 def standardise(spark, sf):
-    enc = encounters(spark, sf)
+    enc = stored(spark, sf)
     columns = ["odds_draw", "odds_away"]
     # One fitted row per named column comes back, whatever the size of the table.
     fitted = {r["feature"]: (r["mean"], r["std_pop"]) for r in metrics.feature_moments(enc, columns).collect()}
@@ -244,7 +244,7 @@ dd as (select match_date, coalesce(sum(c) over (order by match_date rows between
     ),
 )
 def fraction_split(spark, sf):
-    return splits.fraction_split(encounters(spark, sf), "match_date").select("match_id", "split")
+    return splits.fraction_split(stored(spark, sf), "match_date").select("match_id", "split")
 
 
 @query(
@@ -286,7 +286,7 @@ def frequency_backtest(spark, sf):
 def constant_predictions(spark, sf):
     from duelframe.functions.scalars import predicted_label
 
-    enc = encounters(spark, sf).withColumn("split", splits.season_split("season", SEASONS))
+    enc = stored(spark, sf).withColumn("split", splits.season_split("season", SEASONS))
     model = models.ConstantModel.fit(enc.filter("split = 'train'"))
     out = model.transform(enc.filter("split = 'validation'"))
     return out.select("match_id", *metrics.PROBS, predicted_label(*metrics.PROBS).alias("predicted"))

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from duelframe.catalog.base import query
 from duelframe.catalog.scalars import _GOAL_INPUT, IMPLIED_SQL, PREDICTED_SQL, with_probabilities
-from duelframe.catalog.testbed import encounters, table, with_enc
+from duelframe.catalog.testbed import encounters, stored, table, with_enc
 from duelframe.functions import scalars as S
 from duelframe.operators import asof, guard, registry
 from duelframe.plans import fixtures as fixtures_plan
+from duelframe.session import stage
 
 TEST_SEASONS = ("2000-01", "2001-02")
 
@@ -27,7 +28,7 @@ cum as (select ask.match_id, ask.team, cast(count(*) as bigint) as n from ask jo
     ),
 )
 def history_counts(spark, sf):
-    enc = encounters(spark, sf)
+    enc = stored(spark, sf)
     fixtures = enc.filter(F.col("season").isin(*TEST_SEASONS)).select("match_id", "match_date", "home_team", "away_team")
     return asof.history_counts(fixtures, enc).select("match_id", "home_history", "away_history")
 
@@ -60,7 +61,8 @@ from prob join customer h on h.c_custkey = home_team join customer a on a.c_cust
     ),
 )
 def prediction_listing(spark, sf):
-    prob = with_probabilities(encounters(spark, sf))
+    enc = stored(spark, sf)
+    prob = with_probabilities(enc)
     results = prob.select(
         (F.col("match_id") * 10).alias("id"),
         F.col("match_id").alias("request_id"),
@@ -71,11 +73,11 @@ def prediction_listing(spark, sf):
         S.predicted_label("p_home", "p_draw", "p_away").alias("predicted_outcome"),
         F.col("match_date").alias("created_at"),
     )
-    requests = encounters(spark, sf).select(
+    requests = enc.select(
         F.col("match_id").alias("request_id"), F.col("home_team").alias("home_id"), F.col("away_team").alias("away_id"), "match_date"
     )
     entities = table(spark, sf, "customer").select(F.col("c_custkey").alias("entity_id"), F.col("c_name").alias("name"))
-    models = encounters(spark, sf).select(
+    models = enc.select(
         S.season_start_year("season").alias("model_id"), F.concat(F.lit("v"), "season").alias("version")
     ).distinct()
     return registry.prediction_listing(results, requests, entities, models)
@@ -203,7 +205,7 @@ from cnt""",
     ),
 )
 def eligibility(spark, sf):
-    enc = encounters(spark, sf).select(
+    enc = stored(spark, sf).select(
         "match_id", "season", "match_date", *[F.concat(F.lit("T"), c).alias(c) for c in ("home_team", "away_team")]
     )
     asked = enc.filter(F.col("season").isin(*TEST_SEASONS)).select(
@@ -260,7 +262,7 @@ def prediction_rows(spark, sf):
     ),
 )
 def registry_health(spark, sf):
-    models = model_registry(spark, sf)
+    models = stage(model_registry(spark, sf), "registry")
     rows = models.select("version", F.when(F.col("n_rows") % 2 != 0, F.col("artifact_path")).alias("artifact_path"))
     features = models.select("version", F.when(F.col("n_rows") % 3 == 0, 0).otherwise(24).alias("n_features"))
     return registry.registry_health(rows, features, models.filter("n_rows % 5 <> 0").select("version"))

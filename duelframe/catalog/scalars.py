@@ -8,7 +8,8 @@ from duelframe.catalog.base import query
 from duelframe.catalog.testbed import DATE_SQL, ENC_SQL, RAWT_SQL, alias_sql, encounters, raw_rows, table, with_enc
 from duelframe.functions import scalars as S
 from duelframe.operators import clean, registry, splits
-from duelframe.schema import ALIASES, FEATURES, INGEST_ALIASES
+from duelframe.schema import ALIASES, INGEST_ALIASES
+from duelframe.session import stage
 
 
 def raw_sql(body: str, more: str = "") -> str:
@@ -139,7 +140,8 @@ valid as (select * from typed where match_date is not null and home_team <> away
 
 
 def typed_rows(spark, sf):
-    return raw_rows(spark, sf).select(
+    # Written first, as raw rows are in practice: the cleaning plan then names plain text columns.
+    return stage(raw_rows(spark, sf), "raw-rows").select(
         "row_id",
         S.parse_date("Date").alias("match_date"),
         S.normalise_name("HomeTeam", ALIASES).alias("home_team"),

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from duelframe.session import stage
+
 # Customers per numbering block; ranks are counted per block, so no nation is ever one window partition.
 BLOCK = 1 << 16
 
@@ -116,6 +118,11 @@ def encounters(spark: SparkSession, sf_dir: str, with_shots: bool = False, drop_
     return out
 
 
+def stored(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """The encounters as a written table, for plans that read them several times."""
+    return stage(encounters(spark, sf_dir, **options), "encounters")
+
+
 # The same binding as portable SQL; every oracle starts from the relation ``enc``.
 ENC_SQL = """
 cr as (

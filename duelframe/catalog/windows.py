@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from duelframe.catalog.base import query
 from duelframe.catalog.scalars import IMPLIED_SQL
-from duelframe.catalog.testbed import encounters, table, with_enc
+from duelframe.catalog.testbed import encounters, stored, table, with_enc
 from duelframe.functions import scalars as S
 from duelframe.operators import asof, elo, form, guard, longform, rounds
 from duelframe.plans import features as features_plan
@@ -154,8 +154,8 @@ _RANGE = "order by match_date range between interval 1825 days preceding and int
     ),
 )
 def calendar_form(spark, sf):
-    df = form.calendar_form(encounters(spark, sf), "home_team", "match_date", "home_goals", 5 * 365, "home_form_scored")
-    df = form.calendar_form(df, "away_team", "match_date", "away_goals", 5 * 365, "away_form_conceded")
+    specs = [("home_team", "home_goals", "home_form_scored"), ("away_team", "away_goals", "away_form_conceded")]
+    df = form.calendar_form(stored(spark, sf), "match_date", specs, 5 * 365)
     return df.select("match_id", "home_form_scored", "away_form_conceded")
 
 
@@ -166,7 +166,7 @@ def calendar_form(spark, sf):
 )
 def calendar_form_events(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("date").alias("day"), "value")
-    return form.calendar_form(events, "user_id", "day", "value", 7, "weekly_value").select(
+    return form.calendar_form(events, "day", [("user_id", "value", "weekly_value")], 7).select(
         "event_id", F.round("weekly_value", 6).alias("weekly_value")
     )
 
@@ -237,8 +237,8 @@ STATE_SQL = (
     ),
 )
 def current_states(spark, sf):
-    enc = encounters(spark, sf)
-    states = asof.entity_states(enc, elo.elo_ratings(enc, "competition"))
+    enc = stored(spark, sf)
+    states = asof.entity_states(enc, elo.elo_ratings(enc, "competition", staged=True))
     return asof.current_states(states).withColumn("elo", F.round("elo", 4))
 
 
@@ -268,7 +268,7 @@ def features(spark, sf):
 )
 def fixture_features(spark, sf):
     # The as-of cut is strict, so fixtures asked against the whole table must give their own feature rows.
-    enc = encounters(spark, sf)
+    enc = stored(spark, sf)
     fixtures = enc.filter(F.col("season").isin("2000-01", "2001-02")).select(
         "match_id", "match_date", "home_team", "away_team", "odds_home", "odds_draw", "odds_away"
     )

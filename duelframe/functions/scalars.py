@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from duelframe.schema import CLASSES, ELO
 
-# Day-first formats come first, the rest is the generic second pass.
-DATE_FORMATS = ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "yyyy-M-d", "yyyy/M/d", "M/d/yyyy", "d MMM yyyy")
-TWO_DIGIT_YEAR_FORMATS = ("d/M/yy", "M/d/yy")
-# Two-digit years 69..99 belong to the last century.
-CENTURY_PIVOT = 2069
+# Rewriting steps from the accepted date layouts to year/month/day. A second number above 12 can
+# only be a day; two-digit years 69..99 belong to the last century.
+DATE_STEPS = (
+    (r"^(\d{1,2})/(1[3-9]|2\d|3[01])/(\d{2}|\d{4})$", "$2/$1/$3"),
+    (r"^(\d{1,2}/\d{1,2})/(69|[7-9]\d)$", "$1/19$2"),
+    (r"^(\d{1,2}/\d{1,2})/(\d{2})$", "$1/20$2"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3/$2/$1"),
+)
 
 
 def col(c: Column | str) -> Column:
@@ -29,22 +32,26 @@ def _map_of(values: Mapping[str, str]) -> Column:
 
 
 def parse_date(c: Column | str) -> Column:
-    """Date from text in several formats, day first; unreadable text gives NULL."""
+    """Date from text, day first; month first where the second number cannot be a month; else NULL.
+
+    Accepts day/month/year with two or four year digits, year-month-day, and ``5 Aug 2020``; the separator may
+    be a slash, dash or dot. The parts are put together as an ISO date and read once: failed attempts with one
+    format after another would cost far more than the date itself.
+    """
     text = F.trim(col(c))
-    four = [F.try_to_date(text, f) for f in DATE_FORMATS]
-    two = [F.try_to_date(text, f) for f in TWO_DIGIT_YEAR_FORMATS]
-    two = [F.when(F.year(d) >= CENTURY_PIVOT, F.add_months(d, -1200)).otherwise(d) for d in two]
-    return F.coalesce(four[0], two[0], *four[1:], *two[1:])
+    flat = F.translate(text, "-.", "//")
+    for pattern, layout in DATE_STEPS:
+        flat = F.regexp_replace(flat, pattern, layout)
+    iso = F.translate(F.regexp_extract(flat, r"^\d{4}/\d{1,2}/\d{1,2}$", 0), "/", "-").try_cast("date")
+    named = F.when(text.rlike(r"^\d{1,2} [A-Za-z]{3} \d{4}$"), F.try_to_date(text, "d MMM yyyy"))
+    return F.coalesce(iso, named)
 
 
 def kickoff_timestamp(day: Column | str, time: Column | str) -> Column:
     """Date plus kickoff time; a missing time is midnight, an unreadable one falls back to the date."""
     day = col(day)
-    text = F.concat_ws(" ", F.date_format(day, "yyyy-MM-dd"), F.coalesce(F.trim(col(time)), F.lit("00:00")))
-    return F.coalesce(
-        *[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in ("yyyy-MM-dd H:mm", "yyyy-MM-dd H:mm:ss")],
-        day.cast("timestamp_ntz"),
-    )
+    text = F.concat_ws(" ", day.cast("string"), F.coalesce(F.trim(col(time)), F.lit("00:00")))
+    return F.coalesce(text.try_cast("timestamp_ntz"), day.cast("timestamp_ntz"))
 
 
 def normalise_name(c: Column | str, aliases: Mapping[str, str]) -> Column:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from duelframe.functions import scalars as S
 from duelframe.operators import guard
+from duelframe.operators.sizes import split_by_size
 from duelframe.schema import ELO
 from duelframe.session import stage
 
@@ -116,20 +117,21 @@ def elo_ratings(
     params: dict = ELO,
     fold_limit: int = FOLD_LIMIT,
     block_days: int = BLOCK_DAYS,
+    staged: bool = False,
 ) -> DataFrame:
-    """``match_id, elo_home, elo_away``: ratings before each match."""
+    """``match_id, elo_home, elo_away``: ratings before each match.
+
+    The input is read by two checks and the fold, so it is staged unless the caller says it is a stored table.
+    """
     group = competition or "_all"
     source = matches if competition else matches.withColumn("_all", F.lit(0))
     narrow = source.select(group, "match_date", *_ORDER, S.actual_home_score("ftr").alias("actual"))
-    narrow = stage(narrow, "elo-input")
+    narrow = narrow if staged else stage(narrow, "elo-input")
     if competition and not guard.competitions_per_entity(narrow, group).isEmpty():
         return sweep_ratings(narrow, params, block_days)
-    large = narrow.groupBy(group).agg(F.count("*").alias("_n")).filter(F.col("_n") > fold_limit).select(group)
-    if large.isEmpty():
-        return fold_ratings(narrow, group, params)
-    folded = fold_ratings(narrow.join(large, group, "left_anti"), group, params)
-    swept = sweep_ratings(narrow.join(large, group, "left_semi"), params, block_days)
-    return folded.unionByName(swept)
+    small, large = split_by_size(narrow, group, fold_limit)
+    folded = fold_ratings(small, group, params)
+    return folded if large is None else folded.unionByName(sweep_ratings(large, params, block_days))
 
 
 def with_rating_change(rated: DataFrame, params: dict = ELO) -> DataFrame:

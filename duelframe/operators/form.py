@@ -113,13 +113,17 @@ def venue_form(matches: DataFrame, n: int = 5, default: float = 1.0, one_per_day
     )
 
 
-def calendar_form(df: DataFrame, key: str, day: str, value: str, days: int, name: str, default: float = 0.0) -> DataFrame:
-    """Mean of ``value`` over the trailing ``days`` calendar days, today excluded.
+def calendar_form(
+    df: DataFrame, day: str, specs: Sequence[tuple[str, str, str]], days: int, default: float = 0.0
+) -> DataFrame:
+    """Mean of a value over the trailing ``days`` calendar days, today excluded, for each (key, value, name).
 
     Rows are first summed per (key, day), before the shuffle; the range frame then runs over days, not rows.
     """
-    daily = df.groupBy(key, day).agg(F.sum(value).alias("_s"), F.count(value).alias("_c"))
-    w = Window.partitionBy(key).orderBy(F.unix_date(day).cast("long")).rangeBetween(-days, -1)
-    mean = F.sum("_s").over(w) / F.sum("_c").over(w)
-    trailing = daily.select(key, day, F.coalesce(mean, F.lit(float(default))).alias(name))
-    return df.join(trailing, [key, day])
+    out = df
+    for key, value, name in specs:
+        daily = df.groupBy(key, day).agg(F.sum(value).alias("_s"), F.count(value).alias("_c"))
+        w = Window.partitionBy(key).orderBy(F.unix_date(day).cast("long")).rangeBetween(-days, -1)
+        mean = F.sum("_s").over(w) / F.sum("_c").over(w)
+        out = out.join(daily.select(key, day, F.coalesce(mean, F.lit(float(default))).alias(name)), [key, day])
+    return out

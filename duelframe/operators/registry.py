@@ -65,14 +65,13 @@ def sync_entities(existing: DataFrame, matches: DataFrame) -> tuple[DataFrame, D
 def upsert_model(registry: DataFrame, current: DataFrame) -> DataFrame:
     """Insert or update by ``version``; the given version becomes the only active one."""
     fields = [c for c in registry.columns if c not in ("version", "is_active", "created_at")]
-    cur = current.select("version", *[F.col(c).alias(f"_n_{c}") for c in fields], F.col("created_at").alias("_n_created"), F.lit(True).alias("_now"))
-    both = registry.join(cur, "version", "full_outer")
-    now = F.coalesce("_now", F.lit(False))
-    return both.select(
-        "version",
-        *[F.when(now, F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) for c in fields],
-        F.coalesce("created_at", "_n_created").alias("created_at"),
-        now.alias("is_active"),
+    columns = ["version", *fields, "created_at"]
+    tagged = registry.select(*columns, F.lit(0).alias("_tag")).unionByName(current.select(*columns, F.lit(1).alias("_tag")))
+    # A version occurs at most twice; the current row wins, the first creation time stays.
+    return tagged.groupBy("version").agg(
+        *[F.max_by(c, "_tag").alias(c) for c in fields],
+        F.min_by("created_at", "_tag").alias("created_at"),
+        (F.max("_tag") == 1).alias("is_active"),
     )
 
 

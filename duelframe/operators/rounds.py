@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe.operators.ordering import dense_index, running_total
+from duelframe.operators.sizes import split_by_size
 from duelframe.session import stage
 
 FOLD_LIMIT = 1_000_000
@@ -79,9 +80,6 @@ def chain_matchdays(matches: DataFrame, season: str = "season", block: int = BLO
 def matchdays(matches: DataFrame, season: str = "season", fold_limit: int = FOLD_LIMIT) -> DataFrame:
     """``match_id, matchday`` for every match."""
     narrow = stage(matches.select(season, *_ORDER), "rounds-input")
-    large = narrow.groupBy(season).agg(F.count("*").alias("_n")).filter(F.col("_n") > fold_limit).select(season)
-    if large.isEmpty():
-        return fold_matchdays(narrow, season)
-    return fold_matchdays(narrow.join(large, season, "left_anti"), season).unionByName(
-        chain_matchdays(narrow.join(large, season, "left_semi"), season)
-    )
+    small, large = split_by_size(narrow, season, fold_limit)
+    folded = fold_matchdays(small, season)
+    return folded if large is None else folded.unionByName(chain_matchdays(large, season))

@@ -1,0 +1,30 @@
+"""Checked splits by group size: small groups may go to one task each, large ones may not."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# More large groups than this are kept in a table instead of a literal list.
+LIST_LIMIT = 1000
+
+
+def split_by_size(df: DataFrame, group: str, limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of groups with at most ``limit`` rows, and rows of larger groups (None when there are none).
+
+    Sizes are counted before the shuffle. The few large groups become a literal filter, so no row is moved to
+    tell the two apart; only when there are very many does a join on the group do it.
+    """
+    sizes = df.groupBy(group).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit).select(group)
+    found = [r[0] for r in sizes.limit(LIST_LIMIT + 1).collect()]
+    if not found:
+        return df, None
+    if len(found) <= LIST_LIMIT:
+        named = [v for v in found if v is not None]
+        large = F.coalesce(F.col(group).isin(*named), F.lit(False)) if named else F.lit(False)
+        if None in found:
+            large = large | F.col(group).isNull()
+        return df.filter(~large), df.filter(large)
+    marked = sizes.withColumnRenamed(group, "_g")
+    same = F.col(group).eqNullSafe(F.col("_g"))
+    return df.join(marked, same, "left_anti"), df.join(marked, same, "left_semi")

@@ -89,7 +89,7 @@ def test_rolling_mean_of_one_hot_key(spark):
 
 def test_calendar_form_counts_days_not_rows(matches_of):
     df = matches_of([("2020-01-01", "A", "B", 4, 0), ("2020-01-05", "A", "C", 2, 0), ("2020-01-11", "A", "B", 1, 0)])
-    out = form.calendar_form(df, "home_team", "match_date", "home_goals", 6, "f").orderBy("match_id").collect()
+    out = form.calendar_form(df, "match_date", [("home_team", "home_goals", "f")], 6).orderBy("match_id").collect()
     assert [r.f for r in out] == [0.0, 4.0, 2.0]
 
 

@@ -23,6 +23,10 @@ def one(spark, **columns):
         ("13/05/93", dt.date(1993, 5, 13)),
         ("08/25/2020", dt.date(2020, 8, 25)),
         ("1/8/2020", dt.date(2020, 8, 1)),
+        ("5 Aug 2020", dt.date(2020, 8, 5)),
+        ("25.08.2020", dt.date(2020, 8, 25)),
+        ("31/02/2020", None),
+        ("13/13/2020", None),
         (" 25/08/2020 ", dt.date(2020, 8, 25)),
         ("soon", None),
         (None, None),
