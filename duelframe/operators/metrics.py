@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from duelframe.functions import scalars as S
 from duelframe.operators.ordering import grouped_quantiles
 from duelframe.schema import CLASSES
+from duelframe.session import stage
 
 PROBS = ("p_home", "p_draw", "p_away")
 EPS = 2.220446049250313e-16
@@ -140,12 +141,12 @@ def one_vs_rest(df: DataFrame, keep: Sequence[str] = (), label: str = "ftr", pro
 def calibration_curve(df: DataFrame, bins: int = 10, label: str = "ftr", probs: Sequence[str] = PROBS) -> DataFrame:
     """One-vs-rest reliability per quantile bin and class; empty bins do not appear.
 
-    Rows are first grouped by (class, probability): from there on equal probabilities are one row. A bin is the
-    number of inner quantile edges strictly below the probability.
+    Rows are read once and grouped by (class, probability): from there on equal probabilities are one row, for
+    the edges and for the bins. A bin is the number of inner quantile edges strictly below the probability.
     """
     long = one_vs_rest(df, label=label, probs=probs)
-    values = long.groupBy("class", "p").agg(F.count("*").alias("c"), F.sum("hit").alias("h"))
-    edges = grouped_quantiles(long, ["class"], "p", [i / bins for i in range(1, bins)])
+    values = stage(long.groupBy("class", "p").agg(F.count("*").alias("c"), F.sum("hit").alias("h")), "calibration")
+    edges = grouped_quantiles(values, ["class"], "p", [i / bins for i in range(1, bins)], weight="c")
     number = sum(((F.col(f"q{i}") < F.col("p")).cast("int") for i in range(bins - 1)), F.lit(0))
     return (
         values.join(F.broadcast(edges), "class")  # three rows of edges, one per class

@@ -45,15 +45,19 @@ def running_total(df: DataFrame, order: Sequence[str | Column], value: str, name
     return placed.withColumn(name, F.col("_before") + F.sum(value).over(inside)).drop("_place", "_part", "_before")
 
 
-def grouped_quantiles(df: DataFrame, group: Sequence[str], value: str, probabilities: Sequence[float]) -> DataFrame:
+def grouped_quantiles(
+    df: DataFrame, group: Sequence[str], value: str, probabilities: Sequence[float], weight: str | None = None
+) -> DataFrame:
     """Exact linear-interpolation quantiles per group: columns ``q0``, ``q1``, … and ``n``.
 
-    ``group`` must take values from a fixed short list.
+    ``group`` must take values from a fixed short list. ``weight`` names a row count for inputs that are
+    grouped already.
 
     Equal values are counted before the shuffle, so a value shared by most rows is one row from then on; order
     statistics come from a running total instead of a value map held in one task.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_cnt"))
+    rows = F.sum(weight) if weight else F.count("*")
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(rows.alias("_cnt"))
     cum = running_total(counts, [*group, value], "_cnt", "_cum")
     base = cum.groupBy(*group).agg(
         F.min(F.col("_cum") - F.col("_cnt")).alias("_base"), F.sum("_cnt").alias("n")

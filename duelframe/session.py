@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_STAGED: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
@@ -27,7 +30,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/duelframe/{name}-{uuid.uuid4().hex}"
+    """A new path under the shared folder, never used before."""
+    path = f"{shared_dir(spark).rstrip('/')}/duelframe/{name}-{uuid.uuid4().hex}"
+    _STAGED.append(path)
+    return path
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process wrote; call it when their results have been stored."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    while _STAGED:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        dropped += path.getFileSystem(conf).delete(path, True)
+    return dropped
 
 
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -182,6 +182,17 @@ def test_rolling_backtest_uses_only_earlier_seasons(features):
             assert r[c] == pytest.approx(want[r.test_season][c])
 
 
+def test_stages_live_in_the_shared_folder_and_can_be_dropped(spark, tmp_path, monkeypatch):
+    from duelframe import session
+
+    monkeypatch.setattr(session, "_STAGED", [])
+    df = session.stage(spark.range(4), "t")
+    assert df.count() == 4
+    (path,) = session._STAGED
+    assert path.startswith(spark.conf.get("spark.checkpoint.dir")) and readers.exists(spark, path)
+    assert session.drop_stages(spark) == 1 and not readers.exists(spark, path)
+
+
 def test_selection_ties():
     rows = [{"name": "a", "log_loss": 1.0, "f1": 0.5}, {"name": "b", "log_loss": 1.0, "f1": 0.5}, {"name": "c", "log_loss": 1.5, "f1": 0.6}]
     assert train.select(rows)["name"] == "a"
