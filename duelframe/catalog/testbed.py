@@ -70,8 +70,9 @@ def _first_of_day_only(raw: DataFrame) -> DataFrame:
 
 
 def encounters(spark: SparkSession, sf_dir: str, with_shots: bool = False, drop_clashes: bool = True) -> DataFrame:
-    ranked = _ranked_customers(spark, sf_dir)
-    home = ranked.select("competition", F.col("team").alias("home_team"), F.col("r").alias("home_rank"), "n").filter("n > 1")
+    # Both sides read the same relation with the same filter, so its shuffles are planned once and reused.
+    ranked = _ranked_customers(spark, sf_dir).filter("n > 1")
+    home = ranked.select("competition", F.col("team").alias("home_team"), F.col("r").alias("home_rank"), "n")
     away = ranked.select("competition", F.col("team").alias("away_team"), F.col("r").alias("away_rank"))
     key = F.col("match_id")
     raw = (

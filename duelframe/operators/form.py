@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from duelframe.operators.ordering import dense_index
 from duelframe.schema import MATCH_ORDER, PRIORS
 
 FORM_STATS = {
@@ -65,12 +66,14 @@ def rolling_mean_before(
     name: str,
     default: float,
     one_per_day: bool | None = None,
+    block: int = 1 << 16,
 ) -> DataFrame:
     """Mean of ``value`` over the ``n`` rows before the current one, for data with or without the guard.
 
     With one row per key and day (checked unless the caller knows) the plain row frame is bounded by the
-    calendar. Otherwise rows are framed inside (key, day) and completed with the last ``n`` values of earlier
-    days, so a key that holds a large share of all rows is spread over its days. Both give the same result.
+    calendar. Otherwise rows are numbered in (key, day, order) and framed inside blocks of consecutive numbers;
+    the last ``n`` rows of a block are handed to the next one as well. A block knows nothing of keys, so a key or
+    a day that holds a large share of all rows is split like any other. Both ways give the same result.
     """
     keys, order = list(keys), list(order)
     if one_per_day is None:
@@ -79,26 +82,19 @@ def rolling_mean_before(
         w = Window.partitionBy(*keys).orderBy(day, *order).rowsBetween(-n, -1)
         return df.withColumn(name, F.coalesce(F.avg(value).over(w), F.lit(float(default))))
 
-    rows = df.withColumn("_v", value.cast("double"))
-    # The last n rows of a day; the limit on the rank is applied before the shuffle as well.
-    newest = Window.partitionBy(*keys, day).orderBy(*[F.col(c).desc() for c in order])
-    tails = (
-        rows.select(*keys, day, *order, "_v")
-        .withColumn("_r", F.row_number().over(newest))
-        .filter(F.col("_r") <= n)
-        .groupBy(*keys, day)
-        .agg(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("_r")).alias("_o"), "_v"))), lambda x: x["_v"]).alias("_tail"))
-    )
-    # Every earlier day has at least one row, so n days always hold n rows if there are any.
-    earlier = Window.partitionBy(*keys).orderBy(day).rowsBetween(-n, -1)
-    carried = tails.select(*keys, day, F.flatten(F.collect_list("_tail").over(earlier)).alias("_carried"))
-    inside = Window.partitionBy(*keys, day).orderBy(*order).rowsBetween(-n, -1)
-    joined = rows.withColumn("_today", F.collect_list("_v").over(inside)).join(carried, [*keys, day])
-    both = F.concat("_carried", "_today")
-    last = F.slice(both, F.greatest(F.size(both) - n + 1, F.lit(1)), n)
-    total = F.aggregate(last, F.lit(0.0), lambda a, x: a + x)
-    mean = F.when(F.size(last) > 0, total / F.size(last)).otherwise(F.lit(float(default)))
-    return joined.withColumn(name, mean).drop("_v", "_today", "_carried")
+    size = max(block, n)
+    numbered = dense_index(df.withColumns({"_v": value.cast("double"), "_k": F.struct(*keys)}), [*keys, day, *order], "_i")
+    own = F.floor((F.col("_i") - 1) / size)
+    places = F.array(F.struct(own.alias("b"), F.lit(False).alias("copy")))
+    handed = F.array_append(places, F.struct((own + 1).alias("b"), F.lit(True).alias("copy")))
+    last_of_block = F.col("_i") > (own + 1) * size - n
+    spread = numbered.withColumn("_p", F.explode(F.when(last_of_block, handed).otherwise(places)))
+    frame = Window.partitionBy("_p.b").orderBy("_i").rowsBetween(-n, -1)
+    before = F.filter(F.collect_list(F.struct("_k", "_v")).over(frame), lambda e: e["_k"].eqNullSafe(F.col("_k")) & e["_v"].isNotNull())
+    framed = spread.withColumn("_before", before).filter(~F.col("_p.copy"))
+    total = F.aggregate("_before", F.lit(0.0), lambda acc, e: acc + e["_v"])
+    mean = F.when(F.size("_before") > 0, total / F.size("_before")).otherwise(F.lit(float(default)))
+    return framed.withColumn(name, mean).drop("_v", "_k", "_i", "_p", "_before")
 
 
 def venue_form(matches: DataFrame, n: int = 5, default: float = 1.0, one_per_day: bool | None = None) -> DataFrame:
