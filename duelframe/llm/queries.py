@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from duelframe.llm.minhash import op6_minhash_near_duplicates
 from duelframe.llm.quality import op10_quality_classifier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_minhash_near_duplicates": op6_minhash_near_duplicates,
     "op10_quality_classifier": op10_quality_classifier,
 }
 
