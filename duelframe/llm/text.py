@@ -16,11 +16,11 @@ BLOCK_BYTES = 1 << 22
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a string column and the offsets of its rows; a null row is an empty one."""
+    """All bytes of a string or binary column and the offsets of its rows; a null row is an empty one."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
-        column = pc.fill_null(column, "")
+        column = pc.fill_null(column, pa.scalar(b"", column.type) if pa.types.is_binary(column.type) else "")
     n = len(column)
     if n == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
@@ -64,11 +64,17 @@ def _powers(n: int) -> list[np.ndarray]:
     return _POWERS
 
 
-def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte run ``data[start:end]``, equal for equal runs wherever they stand."""
+def prefix_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums ``s`` and factors ``f``: ``(s[end] - s[start]) * f[start]`` is a hash of the run, to be mixed."""
     power, inverse = _powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_SYMBOL[data] * power[: len(data)], out=sums[1:])
+    return sums, inverse
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte run ``data[start:end]``, equal for equal runs wherever they stand."""
+    sums, inverse = prefix_hashes(data)
     return mixed((sums[ends] - sums[starts]) * inverse[starts] ^ (ends - starts).astype(np.uint64))
 
 
