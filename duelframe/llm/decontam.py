@@ -74,8 +74,10 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     # side by side from the first token that both have at this offset
     hits = hits.withColumn("doc_start", F.greatest(F.col("p") - F.col("q"), F.lit(0))).withColumn("item_start", F.greatest(F.col("q") - F.col("p"), F.lit(0)))
     hits = hits.select("doc_id", "item_id", "doc_start", "item_start", F.size("item").alias("n_item"), F.expr("zip_with(slice(words, doc_start + 1, size(item) - item_start), slice(item, item_start + 1, size(item)), (x, y) -> x <=> y)").alias("same"))
-    # a passage is hit at each of its tokens: one row for an offset goes on
-    found = hits.distinct().select("doc_id", "item_id", "doc_start", "n_item", _segment("same").alias("s"))
+    # A passage is hit at each of its tokens: one row for an offset goes on. Being an aggregate, ``same`` keeps the fold
+    # below out of the join's condition, where it would end the code generation that spares copies of ``words``.
+    hits = hits.groupBy("doc_id", "item_id", "doc_start", "item_start", "n_item").agg(F.max("same").alias("same"))
+    found = hits.select("doc_id", "item_id", "doc_start", "n_item", _segment("same").alias("s"))
     found = found.where(F.col("s.found") >= F.least(F.lit(LEAST_TOKENS), F.col("n_item")))
     found = found.select("doc_id", "item_id", F.struct(F.col("s.found").alias("agreeing"), (-F.col("doc_start") - F.col("s.first")).alias("at"), (F.col("s.last") - F.col("s.first") + 1).alias("n")).alias("x"))
     return found.groupBy("doc_id", "item_id").agg(F.max("x").alias("x")).select("doc_id", "item_id", F.col("x.n").cast("long").alias("n_tokens"), F.col("x.agreeing").cast("long").alias("n_agreeing"), (-F.col("x.at")).cast("long").alias("doc_start"))

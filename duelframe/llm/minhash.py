@@ -7,20 +7,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duelframe.llm.components import components
 from duelframe.llm.linking import linked, shared_buckets
 from duelframe.llm.text import blocks, mixed, released, run_hashes, spaces, stored, utf8, word_runs
 
-BUCKET_BITS = 7
+BUCKET_BITS = 8
 BUCKETS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
-#: Registers in a band: two documents at the threshold meet in one of the 32 bands but for one case in 10 million.
-BAND = 4
-#: How far below the threshold an estimate may be before its pair is left out: five standard errors at 0.8.
-MARGIN = 0.18
+#: Bands of four registers each, from the first half of them: documents at the threshold meet in one of the bands
+#: but for one case in 10 million. Estimates use all registers.
+BANDS = 32
+#: How far below the threshold an estimate may be before its pair is left out: four standard errors at 0.8.
+MARGIN = 0.1
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -78,10 +79,10 @@ def registers(shingles: np.ndarray, edges: np.ndarray) -> np.ndarray:
         out.reshape(-1)[place[first]] = (zeros << np.uint64(MANTISSA_BITS)) + (tail >> np.uint64(53 - MANTISSA_BITS)) + np.uint64(1)
     order = _borrowing()
     lacking = np.flatnonzero((out == 0).any(1) & (np.diff(edges) > 0))
-    for i in range(0, len(lacking), 256):
-        part = out[lacking[i : i + 256]]
+    for i in range(0, len(lacking), 64):
+        part = out[lacking[i : i + 64]]
         pick = (part > 0)[:, order].argmax(2)
-        out[lacking[i : i + 256]] = np.take_along_axis(part, order[np.arange(BUCKETS), pick], 1)
+        out[lacking[i : i + 64]] = np.take_along_axis(part, order[np.arange(BUCKETS), pick], 1)
     return out
 
 
@@ -94,7 +95,7 @@ def _borrowing() -> np.ndarray:
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
     """A 64-bit key for each band of registers; the band's number is part of it."""
-    keys = np.ascontiguousarray(regs).view(np.uint64)
+    keys = np.ascontiguousarray(regs[:, : 4 * BANDS]).view(np.uint64)
     return mixed(keys + np.arange(1, keys.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
@@ -113,7 +114,7 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
 
 
 def sketches(documents: DataFrame, k: int) -> DataFrame:
-    """``(doc_id, n_shingles, set_a, set_b, registers)``: 128 bits name the exact set, 256 bytes sketch it."""
+    """``(doc_id, n_shingles, set_a, set_b, registers)``: 128 bits name the exact set, 512 bytes sketch it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,6 +166,29 @@ def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "n_a", "r_a", "n_b", "r_b").mapInArrow(run, "a long, b long, similarity double")
 
 
+def _mark() -> Column:
+    """A document's set size and the lowest four bits of each register, sixteen to a number."""
+    low = [F.conv(F.regexp_replace(F.substring(F.hex("registers"), 64 * k + 1, 64), "..(.).", "$1"), 16, -10).cast("long") for k in range(BUCKETS // 16)]
+    return F.struct(F.col("n_shingles").alias("n"), *[x.alias(f"x{k}") for k, x in enumerate(low)])
+
+
+def _close(a: Column, b: Column, percent: int) -> Column:
+    """Whether sizes and the share of equal low register bits allow an estimate that counts.
+
+    Registers that differ agree in four bits once in sixteen; that share is taken off as it is for whole registers,
+    with one more standard error to spare.
+    """
+    equal = None
+    for k in range(BUCKETS // 16):
+        x = a[f"x{k}"].bitwiseXOR(b[f"x{k}"])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        same = F.lit(16) - F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+        equal = same if equal is None else equal + same
+    least = percent / 100 - MARGIN - 0.025
+    return (F.least(a["n"], b["n"]) * 100 >= F.greatest(a["n"], b["n"]) * percent) & (equal >= F.lit(int(BUCKETS * (least + (1 - least) / 16))))
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs ``(a, b)`` whose full shingle sets reach the threshold."""
 
@@ -205,7 +229,8 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     members = shared_buckets(_bands(reps))
     # texts of documents that any candidate of the bands may need
     texts = documents.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    found = linked(members, lambda pairs: _estimated(pairs, reps, percent), lambda pairs: _confirmed(pairs, texts, k, percent))
+    marks = reps.join(members.select(F.col("id").alias("rep")).distinct(), "rep", "left_semi").select(F.col("rep").alias("id"), _mark().alias("mark"))
+    found = linked(members, lambda pairs: _estimated(pairs, reps, percent), lambda pairs: _confirmed(pairs, texts, k, percent), marks, lambda a, b: _close(a, b, percent))
     links = stored(found.unionByName(copies), "links")
     released(members, found, reps)
 

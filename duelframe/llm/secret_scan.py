@@ -17,8 +17,8 @@ LEAST_VALUE = 6
 #: Runs of key characters from this length on are scored.
 LEAST_RUN = 16
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{LEAST_RUN},}}"
-#: An ordinary identifier of the training sample: letters only, the first one large at most.
-ORDINARY = r"^[A-Za-z][a-z]+$"
+#: An ordinary identifier of the training sample: letters only, all of one case but for the first.
+ORDINARY = r"^([A-Za-z][a-z]+|[A-Z]+)$"
 #: Log-likelihood ratio from which a run counts as random: one run in a thousand is expected to be a secret.
 THRESHOLD = math.log(1000)
 #: Share of an identifier's steps that are taken to be even over the key characters.
@@ -119,12 +119,13 @@ def _listed(spans: Column) -> Column:
 
 def scan(documents: DataFrame, chains: Chains) -> DataFrame:
     """``(doc_id, base, added)``: base spans and the runs that the chains hold for random, both by start, then kind.
+    A run without any letter is a number or a rule, not a key.
 
     A span has ``start``, ``end`` (code points, end exclusive), ``kind`` (the place in ``KINDS``) and ``value``.
     Every row of ``documents`` gives a row, with empty lists for a null or empty text.
     """
     rows = _candidates(base_spans(documents))
-    added = F.filter("runs", lambda r: r.value.rlike("[A-Za-z0-9]") & (_score(r.value, chains) >= THRESHOLD))
+    added = F.filter("runs", lambda r: r.value.rlike("[A-Za-z]") & (_score(r.value, chains) >= THRESHOLD))
     return rows.select("doc_id", F.sort_array("base").alias("base"), F.when(F.size("runs") > 0, F.sort_array(added)).otherwise(F.col("runs")).alias("added"))
 
 
