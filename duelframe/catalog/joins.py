@@ -222,8 +222,8 @@ def eligibility(spark, sf):
 def _goal_sql(sign: str, own_for: str, other_against: str) -> str:
     tilt = "(0.35e0 * (p_home - p_away) + 0.0004e0 * elo_diff + 0.02e0 * greatest(least(rest_days_diff, 5), -5))"
     return (
-        f"round(least(greatest((coalesce(nullif({own_for}, 0), 1.35e0) + coalesce(nullif({other_against}, 0), 1.35e0)) / 2"
-        f" {sign} {tilt} + 0.15e0 * p_draw, 0), 6), 4)"
+        f"floor(least(greatest((coalesce(nullif({own_for}, 0), 1.35e0) + coalesce(nullif({other_against}, 0), 1.35e0)) / 2"
+        f" {sign} {tilt} + 0.15e0 * p_draw, 0), 6) * 10000e0 + 0.5e0) / 10000e0"
     )
 
 

@@ -325,8 +325,8 @@ _GOAL_INPUT = {
     with_enc(
         """
 select match_id,
-  round(least(greatest((hf + aa) / 2 + (0.35e0 * (p_home - p_away) + 0.0004e0 * gap + 0.02e0 * rest) + 0.15e0 * p_draw, 0), 6), 4) as expected_home,
-  round(least(greatest((af + ha) / 2 - (0.35e0 * (p_home - p_away) + 0.0004e0 * gap + 0.02e0 * rest) + 0.15e0 * p_draw, 0), 6), 4) as expected_away
+  floor(least(greatest((hf + aa) / 2 + (0.35e0 * (p_home - p_away) + 0.0004e0 * gap + 0.02e0 * rest) + 0.15e0 * p_draw, 0), 6) * 10000e0 + 0.5e0) / 10000e0 as expected_home,
+  floor(least(greatest((af + ha) / 2 - (0.35e0 * (p_home - p_away) + 0.0004e0 * gap + 0.02e0 * rest) + 0.15e0 * p_draw, 0), 6) * 10000e0 + 0.5e0) / 10000e0 as expected_away
 from g""",
         IMPLIED_SQL
         + ",\ngin as (select *, "

@@ -161,12 +161,12 @@ def calendar_form(spark, sf):
 
 @query(
     "W06_calendar_form_events",
-    """select event_id, round(coalesce(avg(value) over (partition by user_id order by cast(ts as date)
-       range between interval 7 days preceding and interval 1 days preceding), 0.0e0), 6) as weekly_value from events""",
+    """select event_id, round(coalesce(cast(sum(cast(value as decimal(28,4))) over w as double) / count(value) over w, 0.0e0), 6) as weekly_value from events
+       window w as (partition by user_id order by cast(ts as date) range between interval 7 days preceding and interval 1 days preceding)""",
 )
 def calendar_form_events(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("date").alias("day"), "value")
-    return form.calendar_form(events, "day", [("user_id", "value", "weekly_value")], 7).select(
+    return form.calendar_form(events, "day", [("user_id", "value", "weekly_value")], 7, exact=4).select(
         "event_id", F.round("weekly_value", 6).alias("weekly_value")
     )
 

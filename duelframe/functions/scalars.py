@@ -253,7 +253,8 @@ def expected_goals(p_home, p_draw, p_away, prefix: str = "") -> tuple[Column, Co
     pull = 0.15 * d
     home = (home_for + away_against) / 2.0 + tilt + pull
     away = (away_for + home_against) / 2.0 - tilt + pull
-    return tuple(F.round(F.least(F.greatest(x, F.lit(0.0)), F.lit(6.0)), 4) for x in (home, away))
+    # Scaled and floored: a decimal rounding would depend on how an engine reads doubles half way between digits.
+    return tuple(F.floor(F.least(F.greatest(x, F.lit(0.0)), F.lit(6.0)) * 10000.0 + 0.5) / 10000.0 for x in (home, away))
 
 
 def json_snapshot(columns: Sequence[str], date_columns: Sequence[str] = (), double_columns: Sequence[str] = ()) -> Column:

@@ -28,20 +28,33 @@ TOLERANCE = 1e-10
 _ORDER = ["match_datetime", "home_team", "away_team", "match_id"]
 
 
+def _waves(home: np.ndarray, away: np.ndarray, entities: int) -> np.ndarray:
+    """How many matches of either side must be settled before each one: matches of one wave touch nobody twice."""
+    reached, wave = np.zeros(entities, np.int64), np.empty(len(home), np.int64)
+    for i, pair in enumerate(np.stack((home, away), 1)):
+        wave[i] = reached[pair].max()
+        reached[pair] = wave[i] + 1
+    return wave
+
+
 def _fold(k: float, advantage: float, start: float):
+    """Ratings of one closed group: its matches in waves, all matches of a wave as one array operation."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(_ORDER, kind="stable")
-        ratings: dict = {}
-        n = len(pdf)
-        before_home, before_away = np.empty(n), np.empty(n)
-        rows = zip(pdf["home_team"].tolist(), pdf["away_team"].tolist(), pdf["actual"].tolist())
-        for i, (home, away, actual) in enumerate(rows):
-            h, a = ratings.get(home, start), ratings.get(away, start)
-            before_home[i], before_away[i] = h, a
-            expected = 1.0 / (1.0 + 10.0 ** ((a - (h + advantage)) / 400.0))
-            ratings[home] = h + k * (actual - expected)
-            ratings[away] = a + k * ((1.0 - actual) - (1.0 - expected))
-        return pd.DataFrame({"match_id": pdf["match_id"].to_numpy(), "elo_home": before_home, "elo_away": before_away})
+        pdf = pdf.sort_values(_ORDER, kind="stable", na_position="first")
+        codes, names = pd.factorize(pd.concat([pdf["home_team"], pdf["away_team"]]), use_na_sentinel=False)
+        sides = codes.reshape(2, -1)
+        actual = pdf["actual"].to_numpy()
+        table, before = np.full(len(names), start), np.empty((2, len(pdf)))
+        wave = _waves(*sides, len(names))
+        order = np.argsort(wave, kind="stable")
+        for now in np.split(order, np.flatnonzero(np.diff(wave[order])) + 1):
+            own = table[sides[:, now]]
+            before[:, now] = own
+            gain = k * (actual[now] - 1.0 / (1.0 + 10.0 ** ((own[1] - own[0] - advantage) / 400.0)))
+            table[sides[0, now]] += gain
+            table[sides[1, now]] -= gain
+        return pd.DataFrame({"match_id": pdf["match_id"].to_numpy(), "elo_home": before[0], "elo_away": before[1]})
 
     return run
 
@@ -57,16 +70,17 @@ def sweep_ratings(narrow: DataFrame, params: dict = ELO, block_days: int = BLOCK
     """Ratings before each match by repeated sweeps over the whole table, block of days by block of days."""
     k, advantage, start = float(params["k_factor"]), float(params["home_advantage"]), float(params["initial_rating"])
     day = F.datediff("match_date", F.lit("1970-01-01"))
-    first, last = narrow.agg(F.min(day), F.max(day)).first()
+    first, last, rows = narrow.agg(F.min(day), F.max(day), F.count("*")).first()
     columns = [*_ORDER, "actual"]
-    if first is None:
+    if not rows:
         return narrow.select("match_id", F.lit(start).alias("elo_home"), F.lit(start).alias("elo_away"))
     blocks = stage(
-        narrow.select(*columns, F.floor((day - first) / block_days).cast("int").alias("block")), "elo-blocks", ["block"]
+        narrow.select(*columns, F.coalesce(F.floor((day - first) / block_days).cast("int"), F.lit(-1)).alias("block")), "elo-blocks", ["block"]
     )
     state: DataFrame | None = None
     done: list[DataFrame] = []
-    for b in range((last - first) // block_days + 1):
+    # matches without a date come first, as nulls do in the order, in a block of their own
+    for b in range(-1, (last - first) // block_days + 1 if first is not None else 0):
         block = blocks.filter(F.col("block") == b).select(*columns)
         if block.isEmpty():
             continue

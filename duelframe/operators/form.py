@@ -110,16 +110,21 @@ def venue_form(matches: DataFrame, n: int = 5, default: float = 1.0, one_per_day
 
 
 def calendar_form(
-    df: DataFrame, day: str, specs: Sequence[tuple[str, str, str]], days: int, default: float = 0.0
+    df: DataFrame, day: str, specs: Sequence[tuple[str, str, str]], days: int, default: float = 0.0, exact: int | None = None
 ) -> DataFrame:
     """Mean of a value over the trailing ``days`` calendar days, today excluded, for each (key, value, name).
 
-    Rows are first summed per (key, day), before the shuffle; the range frame then runs over days, not rows.
+    Rows are first summed per (key, day), before the shuffle; the range frame then runs over days, not rows. A row
+    without a key is framed with the others that lack it, a row without a day gets the default. ``exact`` names the
+    decimal digits of the values: their sums are then decimals, the same whatever the order of rows.
     """
-    out = df
+    out = df.withColumn("_day", F.col(day))
     for key, value, name in specs:
-        daily = df.groupBy(key, day).agg(F.sum(value).alias("_s"), F.count(value).alias("_c"))
-        w = Window.partitionBy(key).orderBy(F.unix_date(day).cast("long")).rangeBetween(-days, -1)
-        mean = F.sum("_s").over(w) / F.sum("_c").over(w)
-        out = out.join(daily.select(key, day, F.coalesce(mean, F.lit(float(default))).alias(name)), [key, day])
-    return out
+        summed = F.col(value) if exact is None else F.col(value).cast(f"decimal(28,{exact})")
+        daily = df.groupBy(F.col(key).alias("_k"), F.col(day).alias("_d")).agg(F.sum(summed).alias("_s"), F.count(value).alias("_c"))
+        w = Window.partitionBy("_k").orderBy(F.unix_date("_d").cast("long")).rangeBetween(-days, -1)
+        mean = F.sum("_s").over(w).cast("double") / F.sum("_c").over(w)
+        found = daily.select("_k", "_d", F.when(F.col("_d").isNotNull(), mean).alias("_m"))
+        same = out[key].eqNullSafe(found["_k"]) & out["_day"].eqNullSafe(found["_d"])
+        out = out.join(found, same, "left").withColumn(name, F.coalesce("_m", F.lit(float(default)))).drop("_k", "_d", "_m")
+    return out.drop("_day")

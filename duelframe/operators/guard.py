@@ -29,6 +29,13 @@ def assert_past_only(matches: DataFrame) -> None:
         raise ValueError(f"several matches of one entity on one date, e.g. {bad[0].asDict()}")
 
 
+def assert_labels(matches: DataFrame, result: str = "ftr") -> None:
+    """Raise on a row whose result is missing or none of H, D, A: nothing else can be learned from or rated."""
+    bad = matches.filter(~F.coalesce(F.col(result).isin("H", "D", "A"), F.lit(False))).limit(5).collect()
+    if bad:
+        raise ValueError(f"results must be H, D or A, e.g. {bad[0].asDict()}")
+
+
 def competitions_per_entity(matches: DataFrame, competition: str) -> DataFrame:
     """Entities that appear in more than one competition."""
     return (

@@ -1,52 +1,27 @@
 """Matchday derivation: rounds are cut greedily, a new one starts when an entity appears again.
 
-Seasons up to a checked size are folded one per Arrow group. Larger ones are solved by joins: for every match,
-the match where a round starting there would end is a suffix minimum; the real round starts are the chain from
-the season's first match, found by doubling jumps.
+No season is gathered: for every match, the match where a round starting there would end is a suffix minimum; the
+real round starts are the chain from the season's first match, found by doubling jumps.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duelframe.operators.ordering import dense_index, running_total
-from duelframe.operators.sizes import split_by_size
 from duelframe.session import stage
 
-FOLD_LIMIT = 1_000_000
 BLOCK = 1 << 16
 _ORDER = ["match_datetime", "home_team", "away_team", "match_id"]
+# Stands for a missing season in joins, which drop nulls.
+_NO_SEASON = "\u0000"
 
 
-def _fold():
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(_ORDER, kind="stable")
-        current, seen, days = 1, set(), []
-        for home, away in zip(pdf["home_team"].tolist(), pdf["away_team"].tolist()):
-            if home in seen or away in seen:
-                current += 1
-                seen = set()
-            seen.update((home, away))
-            days.append(current)
-        return pd.DataFrame({"match_id": pdf["match_id"].to_numpy(), "matchday": days})
-
-    return run
-
-
-def fold_matchdays(matches: DataFrame, season: str = "season") -> DataFrame:
-    return matches.select(season, *_ORDER).groupBy(season).applyInPandas(_fold(), "match_id long, matchday long")
-
-
-def chain_matchdays(matches: DataFrame, season: str = "season", block: int = BLOCK) -> DataFrame:
-    """The same rounds without ever gathering a season: see the module note."""
-    indexed = stage(
-        dense_index(matches.select(season, *_ORDER), [season, *_ORDER], "i").select(
-            F.col(season).alias("s"), "match_id", "i", "home_team", "away_team"
-        ),
-        "rounds-index",
-    )
+def matchdays(matches: DataFrame, season: str = "season", block: int = BLOCK) -> DataFrame:
+    """``match_id, matchday`` for every match; matches without a season form one of their own."""
+    named = matches.select(F.coalesce(F.col(season).cast("string"), F.lit(_NO_SEASON)).alias("s"), *_ORDER)
+    indexed = stage(dense_index(named, ["s", *_ORDER], "i").select("s", "match_id", "i", "home_team", "away_team"), "rounds-index")
     # Latest earlier match of either side, 0 without one.
     sides = indexed.select("s", "i", F.explode(F.array("home_team", "away_team")).alias("team"))
     before = F.lag("i").over(Window.partitionBy("s", "team").orderBy("i"))
@@ -75,11 +50,3 @@ def chain_matchdays(matches: DataFrame, season: str = "season", block: int = BLO
     numbered = running_total(marked, ["i"], "starts", "total")
     base = numbered.groupBy("s").agg(F.min("total").alias("base"))
     return numbered.join(base, "s").select("match_id", (F.col("total") - F.col("base") + 1).alias("matchday"))
-
-
-def matchdays(matches: DataFrame, season: str = "season", fold_limit: int = FOLD_LIMIT) -> DataFrame:
-    """``match_id, matchday`` for every match."""
-    narrow = stage(matches.select(season, *_ORDER), "rounds-input")
-    small, large = split_by_size(narrow, season, fold_limit)
-    folded = fold_matchdays(small, season)
-    return folded if large is None else folded.unionByName(chain_matchdays(large, season))

@@ -41,14 +41,16 @@ def fraction_split(df: DataFrame, day: str, train: float = 0.5, validation: floa
     """Split by share of rows, cut at date boundaries.
 
     A split ends with the first date at which the cumulative share of rows reaches its limit. Rows are counted
-    per date first; the running sum sees one row per calendar date, and each date then carries its split.
+    per date first; the running sum sees one row per calendar date, and each date then carries its split. Rows
+    without a date come first.
     """
     daily = df.groupBy(day).agg(F.count("*").alias("_c"))
     before = F.sum("_c").over(Window.orderBy(day).rowsBetween(Window.unboundedPreceding, -1))
     total = F.sum("_c").over(Window.orderBy(day).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     share = F.coalesce(before, F.lit(0)) / total
     name = F.when(share < train, "train").when(share < train + validation, "validation").otherwise("test")
-    return df.join(daily.select(day, name.alias("split")), day)
+    named = daily.select(F.col(day).alias("_day"), name.alias("split"))
+    return df.join(named, df[day].eqNullSafe(named["_day"]), "left").drop("_day")
 
 
 def folds(seasons: DataFrame, season: str = "season") -> DataFrame:

@@ -6,7 +6,6 @@ import re
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -107,7 +106,3 @@ def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
 def read_stats(spark: SparkSession, path: str) -> DataFrame:
     """Flat statistics file with declared types; unreadable cells are NULL."""
     return spark.read.schema(STATS_CSV).csv(path, header=True)
-
-
-def from_pandas(spark: SparkSession, frame: pd.DataFrame, schema=None) -> DataFrame:
-    return spark.createDataFrame(frame, schema) if schema is not None else spark.createDataFrame(frame)

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import brute
-from duelframe.operators import asof, elo, form, guard, longform, registry
+from duelframe.operators import asof, elo, form, guard, longform, registry, splits
 from duelframe.plans.features import build_features
 from duelframe.plans.fixtures import build_fixture_features, eligibility, prediction_rows
 from duelframe.schema import FEATURES
@@ -171,3 +171,21 @@ def test_registry(spark, matches_of):
     out = {r.version: r for r in registry.upsert_model(models, now).collect()}
     assert (out["v2"].artifact_path, out["v2"].created_at, out["v2"].is_active, out["v1"].is_active) == ("p9", 2, True, False)
     assert registry.newest_active(registry.upsert_model(models, now)).first().version == "v2"
+
+
+def test_windows_and_splits_keep_rows_without_key_or_day(matches_of):
+    df = matches_of([("2020-01-01", "A", "B", 2, 0), ("2020-01-03", "A", "C", 1, 1), ("2020-01-05", "A", "B", 0, 1), ("2020-01-06", "B", "C", 3, 1)])
+    df = df.withColumn("home_team", F.when(F.col("match_id") != 4, F.col("home_team"))).withColumn("match_date", F.when(F.col("match_id") != 2, F.col("match_date")))
+    got = {r["match_id"]: r["f"] for r in form.calendar_form(df, "match_date", [("home_team", "home_goals", "f")], 30).collect()}
+    assert got == {1: 0.0, 2: 0.0, 3: 2.0, 4: 0.0}
+    assert splits.fraction_split(df, "match_date").count() == 4
+
+
+@pytest.mark.parametrize("label", ["X", None])
+def test_bad_labels_raise(matches_of, label):
+    df = matches_of([("2020-01-01", "A", "B", 2, 0), ("2020-01-03", "A", "C", 1, 1)])
+    df = df.withColumn("ftr", F.when(F.col("match_id") == 1, F.lit(label)).otherwise(F.col("ftr")))
+    with pytest.raises(ValueError, match="H, D or A"):
+        build_features(df)
+    with pytest.raises(ValueError, match="H, D or A"):
+        build_fixture_features(df, df)
