@@ -14,10 +14,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from duelframe.llm.text import blocks
+
 #: Buckets of the literal rank map; a bucket holds about one entry, so a look-up reads one or two keys.
 BUCKETS = 1 << 16
+#: Words of the documents whose distinct words are encoded together.
+CHUNK_WORDS = 1 << 21
 #: Rank of a pair that is no token.
 NONE = (1 << 31) - 1
+#: A slice length beyond any word's.
+REST = 1 << 30
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -38,38 +44,47 @@ def rank_map(ranks: dict[bytes, int]) -> Column:
     return F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,int>>")
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: lambda variables are, expressions named twice are not."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def encoded(words: str, ranks: dict[bytes, int]) -> Column:
     """Token ids of each word of an array column, a fold over the word's bytes.
 
-    A word that is a token is its own id. Otherwise the state is the list of pieces and, for every two
-    neighbours, the rank of both together; each step joins the leftmost pair of least rank and looks up the two
-    new neighbours only. The fold has as many steps as there are bytes and changes nothing once no pair is a token.
+    A word that is a token is its own id. Otherwise the state is the list of pieces, for every two neighbours the
+    rank of both together, and the place of the leftmost least rank, 0 if no pair is a token. Each step joins that
+    pair and looks up the two new neighbours only; the fold has as many steps as there are bytes.
     """
     table = rank_map(ranks)
     rank = lambda x: F.coalesce(F.element_at(F.get(table, (F.crc32(x) % BUCKETS).cast("int")), x), F.lit(NONE))
-    none = F.array().cast("array<string>")
-
-    def merge(s: Column, _: Column) -> Column:
-        at = F.array_position(s.ranks, F.array_min(s.ranks)).cast("int")
-        joined = F.concat(F.get(s.pieces, at - 1), F.get(s.pieces, at))
-        left = F.when(at > 1, F.array(F.concat(F.get(s.pieces, at - 2), joined))).otherwise(none)
-        right = F.when(at < F.size(s.ranks), F.array(F.concat(joined, F.get(s.pieces, at + 1)))).otherwise(none)
-        return F.struct(
-            F.concat(F.slice(s.pieces, F.lit(1), at - 1), F.array(joined), F.slice(s.pieces, at + 2, F.size(s.pieces))).alias("pieces"),
-            F.concat(F.slice(s.ranks, F.lit(1), F.greatest(at - 2, F.lit(0))), F.transform(F.concat(left, right), rank), F.slice(s.ranks, at + 2, F.size(s.ranks))).alias("ranks"),
-        )
+
+    def state(pieces: Column, found: Column) -> Column:
+        least = lambda low, r: F.when(low == NONE, 0).otherwise(F.array_position(r, low)).cast("int")
+        fields = lambda x: F.struct(x.p.alias("p"), x.r.alias("r"), F.coalesce(_bound(F.array_min(x.r), lambda low: least(low, x.r)), F.lit(0)).alias("at"))
+        return _bound(F.struct(pieces.alias("p"), found.alias("r")), fields)
+
+    def merge(s: Column) -> Column:
+        def joined(x: Column) -> Column:
+            left = F.when(s.at > 1, F.concat(F.get(s.p, s.at - 2), x))
+            right = F.concat(x, F.get(s.p, s.at + 1))  # null at the end of the word
+            near = F.transform(F.filter(F.array(left, right), lambda y: y.isNotNull()), rank)
+            return state(
+                F.concat(F.slice(s.p, F.lit(1), s.at - 1), F.array(x), F.slice(s.p, s.at + 2, F.lit(REST))),
+                F.concat(F.slice(s.r, F.lit(1), F.greatest(s.at - 2, F.lit(0))), near, F.slice(s.r, s.at + 2, F.lit(REST))),
+            )
+
+        return _bound(F.concat(F.get(s.p, s.at - 1), F.get(s.p, s.at)), joined)
 
     def fold(word: Column) -> Column:
-        letters = F.split(word, "")
-        pairs = F.zip_with(F.slice(letters, F.lit(1), F.size(letters) - 1), F.slice(letters, F.lit(2), F.size(letters)), lambda a, b: F.concat(a, b))
-        start = F.struct(letters.alias("pieces"), F.transform(pairs, rank).alias("ranks"))
-        step = lambda s, i: F.when(F.coalesce(F.array_min(s.ranks), F.lit(NONE)) == NONE, s).otherwise(merge(s, i))
-        return F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step, lambda s: F.transform(s.pieces, rank))
+        def started(letters: Column) -> Column:
+            pairs = F.zip_with(F.slice(letters, F.lit(1), F.size(letters) - 1), F.slice(letters, F.lit(2), F.lit(REST)), lambda a, b: rank(F.concat(a, b)))
+            return state(letters, pairs)
 
-    def one(word: Column) -> Column:
-        whole = F.transform(F.array(word), rank)
-        return F.when(F.get(whole, F.lit(0)) != NONE, whole).otherwise(fold(word))
+        step = lambda s, i: F.when(s.at == 0, s).otherwise(merge(s))
+        return F.aggregate(F.sequence(F.lit(1), F.length(word)), _bound(F.split(word, ""), started), step, lambda s: F.transform(s.p, rank))
 
+    one = lambda word: _bound(rank(word), lambda own: F.when(own != NONE, F.array(own)).otherwise(fold(word)))
     return F.transform(F.transform(words, lambda w: F.decode(F.encode(w, "UTF-8"), "ISO-8859-1")), one)
 
 
@@ -78,14 +93,19 @@ _RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row a batch of documents: the distinct words, and for each document the places of its words among them."""
+    """One row a chunk of documents: the distinct words, and for each document the places of its words among them.
+
+    A chunk has ``CHUNK_WORDS`` words at most, or one document.
+    """
+    wrap = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
     for batch in batches:
-        lists = batch.column(1)
-        coded = lists.flatten().dictionary_encode()
-        sizes = pc.fill_null(pc.list_value_length(lists), 0)
-        wrap = lambda values: pa.array([values], pa.list_(values.type)) if not isinstance(values, pa.Array) else pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-        places = pa.array([coded.indices.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()], pa.binary())
-        yield pa.RecordBatch.from_arrays([wrap(batch.column(0)), wrap(sizes.cast(pa.int32())), places, wrap(coded.dictionary)], names=["doc_ids", "sizes", "places", "words"])
+        ends = np.concatenate(([0], np.cumsum(pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False))))
+        for i, j in blocks(ends, CHUNK_WORDS):
+            part = batch.slice(i, j - i)
+            coded = part.column(1).flatten().dictionary_encode()
+            places = pa.array([coded.indices.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()], pa.binary())
+            sizes = pa.array(np.diff(ends[i : j + 1]), pa.int32())
+            yield pa.RecordBatch.from_arrays([wrap(part.column(0)), wrap(sizes), places, wrap(coded.dictionary)], names=["doc_ids", "sizes", "places", "words"])
 
 
 def _written(vocabulary: list[bytes]):
