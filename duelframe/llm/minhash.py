@@ -17,11 +17,12 @@ from duelframe.llm.text import blocks, mixed, released, run_hashes, spaces, stor
 BUCKET_BITS = 8
 BUCKETS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
-#: Bands of four registers each, from the first half of them: documents at the threshold meet in one of the bands
-#: but for one case in 10 million. Estimates use all registers.
+#: Bands of four registers each: documents at the threshold meet in one of them but for one case in 10 million.
 BANDS = 32
 #: How far below the threshold an estimate may be before its pair is left out: four standard errors at 0.8.
 MARGIN = 0.1
+#: Bits of a set's parity sketch, in numbers of 64.
+PARITY_BITS = 1024
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -63,58 +64,64 @@ def distinct_shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np
 def registers(shingles: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """One row of registers a document: of each bucket's least hash the count of leading zeros and ten more bits.
 
-    0 stands for an empty bucket until it borrows from the first filled one in its own fixed order.
+    0 stands for an empty bucket.
     """
-    rows = len(edges) - 1
-    out = np.zeros((rows, BUCKETS), np.uint16)
+    out = np.zeros((len(edges) - 1, BUCKETS), np.uint16)
     if len(shingles):
-        own = np.repeat(np.arange(rows), np.diff(edges))
-        bucket = (shingles >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-        place = own * BUCKETS + bucket
+        own = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+        place = own * BUCKETS + (shingles >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
         rest = (shingles[first] << np.uint64(BUCKET_BITS)) >> np.uint64(11)
-        exponent = np.frexp(rest.astype(np.float64))[1].astype(np.uint64)
-        zeros = np.uint64(53) - exponent
+        zeros = np.uint64(53) - np.frexp(rest.astype(np.float64))[1].astype(np.uint64)
         tail = (rest << (zeros + np.uint64(1))) & np.uint64((1 << 53) - 1)
         out.reshape(-1)[place[first]] = (zeros << np.uint64(MANTISSA_BITS)) + (tail >> np.uint64(53 - MANTISSA_BITS)) + np.uint64(1)
-    order = _borrowing()
-    lacking = np.flatnonzero((out == 0).any(1) & (np.diff(edges) > 0))
-    for i in range(0, len(lacking), 64):
-        part = out[lacking[i : i + 64]]
-        pick = (part > 0)[:, order].argmax(2)
-        out[lacking[i : i + 64]] = np.take_along_axis(part, order[np.arange(BUCKETS), pick], 1)
     return out
 
 
 @lru_cache(1)
 def _borrowing() -> np.ndarray:
-    """For each bucket a fixed random order of all buckets that begins with itself."""
+    """For each register of a band a fixed random order of all registers that begins with itself."""
     rng = np.random.default_rng(11)
-    return np.stack([np.concatenate(([j], rng.permutation(np.delete(np.arange(BUCKETS), j)))) for j in range(BUCKETS)])
+    return np.stack([np.concatenate(([j], rng.permutation(np.delete(np.arange(BUCKETS), j)))) for j in range(4 * BANDS)])
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each band of registers; the band's number is part of it."""
-    keys = np.ascontiguousarray(regs[:, : 4 * BANDS]).view(np.uint64)
-    return mixed(keys + np.arange(1, keys.shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+    """A 64-bit key for each band of registers, with the band's number in it.
+
+    An empty register of a band borrows from the first filled one in its own order, so small sets meet like large
+    ones do.
+    """
+    used = regs[:, : 4 * BANDS].copy()
+    order = _borrowing()
+    lacking = np.flatnonzero((used == 0).any(1) & (regs > 0).any(1))
+    for i in range(0, len(lacking), 64):
+        part = regs[lacking[i : i + 64]]
+        pick = (part > 0)[:, order].argmax(2)
+        used[lacking[i : i + 64]] = np.take_along_axis(part, order[np.arange(4 * BANDS), pick], 1)
+    return mixed(used.view(np.uint64) + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
 def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
-    """Jaccard estimates from register rows, without the share of registers that agree by chance."""
-    equal = (a == b).mean(1)
+    """Jaccard estimates from register rows: equal ones among those filled on either side.
+
+    Of the registers filled on both sides the share that agrees by chance is taken off: two independent least hashes
+    of such sets have as many leading zeros with a known probability, and then the same further bits once in 1024.
+    """
+    equal = ((a == b) & (a > 0)).sum(1)
+    both = ((a > 0) & (b > 0)).sum(1)
+    either = ((a > 0) | (b > 0)).sum(1)
     level = 0.5 ** np.arange(54)
 
     def share(n: np.ndarray) -> np.ndarray:
-        low = np.clip(1 - level / 2, 1e-300, 1) ** (n[:, None] / BUCKETS)
-        high = np.clip(1 - level, 1e-300, 1) ** (n[:, None] / BUCKETS)
-        return low - high
+        mean = np.maximum(n[:, None] / BUCKETS, 1)
+        return np.clip(1 - level / 2, 1e-300, 1) ** mean - np.clip(1 - level, 1e-300, 1) ** mean
 
     chance = (share(size_a.astype(float)) * share(size_b.astype(float))).sum(1) / (1 << MANTISSA_BITS)
-    return (equal - chance) / (1 - chance)
+    return (equal - chance * both) / (1 - chance) / np.maximum(either, 1)
 
 
 def sketches(documents: DataFrame, k: int) -> DataFrame:
-    """``(doc_id, n_shingles, set_a, set_b, registers)``: 128 bits name the exact set, 512 bytes sketch it."""
+    """``(doc_id, n_shingles, set_a, set_b, registers, mark)``: 128 bits name the exact set, 640 bytes sketch it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,12 +134,15 @@ def sketches(documents: DataFrame, k: int) -> DataFrame:
                     np.cumsum(mixed(found ^ np.uint64(salt * 0x51B54A32D192ED03 % (1 << 64))), out=sums[1:])
                     names.append((sums[edges[1:]] - sums[edges[:-1]]).view(np.int64))
                 regs = registers(found, edges)
+                odd = parities(found, edges)
+                mark = pa.StructArray.from_arrays([pa.array(np.diff(edges)), *map(pa.array, odd.T.copy())], ["n", *(f"x{k}" for k in range(odd.shape[1]))])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(np.diff(edges)), *map(pa.array, names), pa.array([r.tobytes() for r in regs], pa.binary())],
-                    names=["doc_id", "n_shingles", "set_a", "set_b", "registers"],
+                    [batch.column(0).slice(i, j - i), pa.array(np.diff(edges)), *map(pa.array, names), pa.array([r.tobytes() for r in regs], pa.binary()), mark],
+                    names=["doc_id", "n_shingles", "set_a", "set_b", "registers", "mark"],
                 )
 
-    schema = "doc_id long, n_shingles long, set_a long, set_b long, registers binary"
+    mark = ", ".join(["n: bigint", *(f"x{k}: bigint" for k in range(PARITY_BITS // 64))])
+    schema = f"doc_id long, n_shingles long, set_a long, set_b long, registers binary, mark struct<{mark}>"
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
@@ -166,27 +176,28 @@ def _estimated(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "n_a", "r_a", "n_b", "r_b").mapInArrow(run, "a long, b long, similarity double")
 
 
-def _mark() -> Column:
-    """A document's set size and the lowest four bits of each register, sixteen to a number."""
-    low = [F.conv(F.regexp_replace(F.substring(F.hex("registers"), 64 * k + 1, 64), "..(.).", "$1"), 16, -10).cast("long") for k in range(BUCKETS // 16)]
-    return F.struct(F.col("n_shingles").alias("n"), *[x.alias(f"x{k}") for k, x in enumerate(low)])
+def parities(shingles: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """For every set whether an odd number of its shingles falls on each of ``PARITY_BITS`` places."""
+    rows = len(edges) - 1
+    place = np.repeat(np.arange(rows), np.diff(edges)) * PARITY_BITS + (shingles & np.uint64(PARITY_BITS - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=rows * PARITY_BITS) & 1).astype(np.uint8).reshape(rows, PARITY_BITS)
+    return np.packbits(odd, axis=1).view(np.int64)
 
 
 def _close(a: Column, b: Column, percent: int) -> Column:
-    """Whether sizes and the share of equal low register bits allow an estimate that counts.
+    """Whether sizes and parity sketches allow the threshold.
 
-    Registers that differ agree in four bits once in sixteen; that share is taken off as it is for whole registers,
-    with one more standard error to spare.
+    Sets that reach it differ in at most ``d = (100 - percent) / (100 + percent)`` of their summed sizes. Their
+    sketches differ in no more places than that, and in large sets, where shingles fall on one place, in no more than
+    expected for ``d`` and four standard deviations above.
     """
-    equal = None
-    for k in range(BUCKETS // 16):
-        x = a[f"x{k}"].bitwiseXOR(b[f"x{k}"])
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        same = F.lit(16) - F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-        equal = same if equal is None else equal + same
-    least = percent / 100 - MARGIN - 0.025
-    return (F.least(a["n"], b["n"]) * 100 >= F.greatest(a["n"], b["n"]) * percent) & (equal >= F.lit(int(BUCKETS * (least + (1 - least) / 16))))
+    apart = F.lit(0)
+    for k in range(PARITY_BITS // 64):
+        apart = apart + F.bit_count(a[f"x{k}"].bitwiseXOR(b[f"x{k}"]))
+    d = (a["n"] + b["n"]) * ((100 - percent) / (100 + percent))
+    mean = (F.lit(1.0) - F.exp(d * (-2.0 / PARITY_BITS))) * (PARITY_BITS / 2)
+    sizes = F.least(a["n"], b["n"]) * 100 >= F.greatest(a["n"], b["n"]) * percent
+    return sizes & (apart <= F.least(d, mean + F.sqrt(mean) * 4.0))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -223,13 +234,13 @@ def near_duplicates(documents: DataFrame, k: int = 5, percent: int = 80) -> Data
     known = stored(sketches(documents, k), "sketches")
     named = ["set_a", "set_b", "n_shingles"]
     sets = known.where("n_shingles > 0 and doc_id is not null")
-    reps = stored(sets.groupBy(*named).agg(F.min("doc_id").alias("rep"), F.first("registers").alias("registers"), F.count("*").alias("rows")), "sets")
+    reps = stored(sets.groupBy(*named).agg(F.min("doc_id").alias("rep"), F.first("registers").alias("registers"), F.first("mark").alias("mark"), F.count("*").alias("rows")), "sets")
     copies = sets.join(reps.where("rows > 1").select(*named, "rep"), named).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
     members = shared_buckets(_bands(reps))
     # texts of documents that any candidate of the bands may need
     texts = documents.join(members.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    marks = reps.join(members.select(F.col("id").alias("rep")).distinct(), "rep", "left_semi").select(F.col("rep").alias("id"), _mark().alias("mark"))
+    marks = reps.select(F.col("rep").alias("id"), "mark")
     found = linked(members, lambda pairs: _estimated(pairs, reps, percent), lambda pairs: _confirmed(pairs, texts, k, percent), marks, lambda a, b: _close(a, b, percent))
     links = stored(found.unionByName(copies), "links")
     released(members, found, reps)
