@@ -25,8 +25,8 @@ class Settings:
     """``sample_pages`` bounds the pages a fit reads, the first in hash order; every page is extracted."""
 
     sample_pages: int = 300
-    variants: int = 3
-    trees: int = 40
+    variants: int = 4
+    trees: int = 60
     depth: int = 4
     bins: int = 32
     rate: float = 0.2
@@ -94,6 +94,9 @@ def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, settings: Settings)
     return model
 
 
+#: Weights of the steps to a child: main text goes on, main text is interrupted, a mixed node holds anything.
+KEPT, BROKEN, OPEN = 0.0, math.log(1 / 9), math.log(2 / 3)
+
 _AVOID = sum(1 << k for k, name in enumerate(HINTS) if name != "main")
 
 
@@ -150,6 +153,18 @@ def _variant(texts: list[str], rng: np.random.Generator) -> str:
     return f"<html><head><title>{some(2, 9)}</title></head><body>{pick(inner, f'<div class={pick('wrapper', 'container')}>{inner}</div>')}</body></html>"
 
 
+def _other_texts(texts: list[str], rng: np.random.Generator) -> list[str]:
+    """Paragraphs of other numbers and lengths from the page's words, so that no page length stands for main text."""
+    words = " ".join(texts).split()
+    longest = int(rng.integers(12, 120))
+    out = []
+    for _ in range(int(rng.integers(1, 12))):
+        n, at = int(rng.integers(5, longest)), int(rng.integers(len(words)))
+        own = [w if rng.random() < 0.9 else w + rng.choice([",", "."]) for w in (words[at:] + words)[:n]]
+        out.append(" ".join(own))
+    return out
+
+
 def _rows(page: str, nodes: list[Node], marked) -> tuple[list[list[float]], list[int], list[float]]:
     main = [sum(len(p) for p in x.text if isinstance(p, str) and marked(i, p)) for i, x in enumerate(nodes)]
     all_ = [sum(len(p) for p in x.text if isinstance(p, str)) for x in nodes]
@@ -160,7 +175,8 @@ def _rows(page: str, nodes: list[Node], marked) -> tuple[list[list[float]], list
 
 
 def train(pages: list[str], settings: Settings) -> Boosted:
-    """Fit on pages that mark their own main text, as they are and in ``variants`` other layouts each.
+    """Fit on pages that mark their own main text, as they are and in ``variants`` other layouts each, half of them
+    with paragraphs of other lengths.
 
     Without such a page, made-up words stand in, so that a model of layouts is always there.
     """
@@ -173,13 +189,16 @@ def train(pages: list[str], settings: Settings) -> Boosted:
         if not texts:
             continue
         own = set(map(id, texts))
-        for part, out in zip(_rows(page, nodes, lambda i, p, own=own: id(p) in own), (x, y, w)):
-            out += part
+        rows, marks, weights = _rows(page, nodes, lambda i, p, own=own: id(p) in own)
+        # a page as it is counts as much as all its variants
+        x += rows
+        y += marks
+        w += [settings.variants * v for v in weights]
         sources.append([" ".join(t.split()) for t in texts])
     sources = sources or [[" ".join(f"word{rng.integers(999)}" for _ in range(int(rng.integers(5, 60)))) + "." for _ in range(int(rng.integers(2, 12)))] for _ in range(40)]
     for texts in sources:
-        for _ in range(settings.variants):
-            page = _variant(texts, rng)
+        for k in range(settings.variants):
+            page = _variant(texts if k % 2 else _other_texts(texts, rng), rng)
             nodes = read(page)
             for part, out in zip(_rows(page, nodes, lambda i, p: MARK in p), (x, y, w)):
                 out += part
@@ -201,7 +220,8 @@ def decode(nodes: list[Node], odds: np.ndarray) -> list[bool]:
     """Which nodes are main text: the best consistent choice of main, rest or mixed for every node.
 
     Below a node of the rest everything is rest; below a main node a child is main or rest; only a mixed node, whose
-    own text is left out, may hold main nodes besides. The sum of the nodes' log probabilities decides.
+    own text is left out, may hold main nodes besides. The sum of the nodes' log probabilities and of the
+    weights of the steps from parent to child decides.
     """
     yes = -np.logaddexp(0, -odds)
     no = -np.logaddexp(0, odds)
@@ -210,16 +230,16 @@ def decode(nodes: list[Node], odds: np.ndarray) -> list[bool]:
     as_main, as_rest, as_mixed = list(map(float, yes)), list(map(float, no)), [mixed] * n
     for i in range(n - 1, 0, -1):
         p = nodes[i].parent
-        as_main[p] += max(as_main[i], as_rest[i])
+        as_main[p] += max(as_main[i] + KEPT, as_rest[i] + BROKEN)
         as_rest[p] += as_rest[i]
-        as_mixed[p] += max(as_main[i], as_rest[i], as_mixed[i])
+        as_mixed[p] += max(as_main[i], as_rest[i], as_mixed[i]) + OPEN
     state = ["mixed"] * n
     for i, x in enumerate(nodes):
         above = state[x.parent] if i else "mixed"
         if above == "rest":
             state[i] = "rest"
         elif above == "main":
-            state[i] = "main" if as_main[i] >= as_rest[i] else "rest"
+            state[i] = "main" if as_main[i] + KEPT >= as_rest[i] + BROKEN else "rest"
         else:
             top = max(as_main[i], as_rest[i], as_mixed[i])
             state[i] = "main" if top == as_main[i] else "mixed" if top == as_mixed[i] else "rest"
