@@ -51,11 +51,12 @@ def buckets(data: np.ndarray, settings: Settings, firsts: np.ndarray | None = No
     space = spaces(data)
     starts, ends = word_runs(space)
     words = run_hashes(data, starts, ends)
-    again = words[1:] == words[:-1]
+    again, second = words[1:] == words[:-1], starts[1:]
     if firsts is not None:
         own = np.searchsorted(firsts, starts, "right")
-        again &= own[1:] == own[:-1]
-    where, found = [starts, starts[1:]], [words >> shift, again.astype(np.uint64)]
+        together = own[1:] == own[:-1]
+        again, second = again[together], second[together]
+    where, found = [starts, second], [words >> shift, again.astype(np.uint64)]
     for n in settings.ngrams:
         if len(data) < n:
             continue
@@ -72,8 +73,11 @@ def buckets(data: np.ndarray, settings: Settings, firsts: np.ndarray | None = No
     return np.concatenate(where), np.concatenate(found).astype(np.int64)
 
 
-def _parts(text: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[np.ndarray]:
-    """A text in pieces that meet at a shared white space byte, so that no word or n-gram is lost or doubled."""
+def _parts(text: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """A text in pieces that meet at a shared white space byte, so that no word or n-gram is lost or doubled.
+
+    Only the word pair at each cut is left out.
+    """
     i = 0
     while len(text) - i > limit:
         at = np.flatnonzero(spaces(text[i + 1 : i + limit]))
@@ -92,9 +96,9 @@ def scores(column: pa.Array, model: QualityModel) -> np.ndarray:
     data, offsets = utf8(column)
     n = len(offsets) - 1
     total, count = np.zeros(n), np.zeros(n)
-    for i, j in blocks(offsets):
+    for i, j in blocks(offsets, BLOCK_BYTES):
         if j == i + 1 and offsets[j] - offsets[i] > BLOCK_BYTES:
-            for part in _parts(_padded(data[offsets[i] : offsets[j]])):
+            for part in _parts(_padded(data[offsets[i] : offsets[j]]), BLOCK_BYTES):
                 _, found = buckets(part, model.settings)
                 total[i] += model.odds[found].sum()
                 count[i] += len(found)
@@ -123,7 +127,7 @@ def train(texts: list[str], labels: np.ndarray, settings: Settings) -> QualityMo
     rows = []
     for text in texts:
         raw = _padded(np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8))
-        found = np.concatenate([buckets(part, settings)[1] for part in _parts(raw)])
+        found = np.concatenate([buckets(part, settings)[1] for part in _parts(raw, BLOCK_BYTES)])
         index, n = np.unique(found, return_counts=True)
         rows.append((index, (n / max(len(found), 1)).astype(np.float32)))
     vectors = rng.uniform(-1 / settings.dim, 1 / settings.dim, (size, settings.dim)).astype(np.float32)

@@ -23,6 +23,9 @@ ORDINARY = r"^([A-Za-z][a-z]+|[A-Z]+)$"
 THRESHOLD = math.log(1000)
 #: Share of an identifier's steps that are taken to be even over the key characters.
 UNSEEN = 0.02
+#: What stands behind the identifiers of a small sample, as so many steps from each character: nine in ten of them to
+#: a small letter.
+PRIOR_STEPS, PRIOR_SMALL = 5.0, 0.9
 #: ASCII codes are the states of both chains.
 STATES = 128
 
@@ -78,7 +81,7 @@ def train(documents: DataFrame) -> Chains:
 
     Only counts of character pairs by label leave the executors, at most two for each pair of states. Half of the
     random chain is even over the key characters, so a kind of secret that the sample lacks stays possible; pairs
-    that neither chain has seen count a little in both. Without documents every ratio favours neither strongly.
+    that neither chain has seen count a little in both. Without documents identifiers are those of the prior.
     """
     rows = _candidates(base_spans(documents))
     secret = F.transform("base", lambda x: F.struct(F.regexp_extract(x.value, r"([A-Za-z0-9+/_=-]*)$", 1).alias("word"), F.lit(1).alias("random")))
@@ -100,7 +103,9 @@ def train(documents: DataFrame) -> Chains:
             k = a * STATES + b
             random = 0.5 * even + 0.5 * (seen[1][k] + even) / (total[1] + 1)
             # a pair that no identifier has shown is rare in one, not impossible: separators in paths and names
-            ratio[k] = math.log(random) - math.log(UNSEEN * even + (1 - UNSEEN) * (seen[0][k] + even) / (total[0] + 1))
+            small = PRIOR_SMALL / 26 if 97 <= b <= 122 else (1 - PRIOR_SMALL) / (len(keys) - 25)
+            plain = (seen[0][k] + PRIOR_STEPS * small) / (total[0] + PRIOR_STEPS)
+            ratio[k] = math.log(random) - math.log(UNSEEN * even + (1 - UNSEEN) * plain)
     return Chains(ratio)
 
 
