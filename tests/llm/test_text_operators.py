@@ -75,30 +75,18 @@ def test_repeated_strings(spark, corpus, documents):
 def test_repeated_strings_of_a_large_anchor_are_dealt_again(spark, corpus, documents, monkeypatch):
     kept = [r for r in corpus if len(r[1] or "") < 2000]
     monkeypatch.setattr(suffix, "LARGE", 1)
-    # the functions that run in tasks are closures over the module, so the small bound must reach them by value
-    monkeypatch.setattr(suffix, "_met", _small_bound(suffix._met))
     got = {r.doc_id: tuple(r)[1:] for r in suffix.without_repeats(documents.where("coalesce(length(text), 0) < 2000")).collect()}
     assert got == plain.without_repeats(kept)
 
 
-def _small_bound(function):
-    def run(batches):
-        from duelframe.llm import suffix as module
-
-        before, module.LARGE = module.LARGE, 1
-        try:
-            yield from function(batches)
-        finally:
-            module.LARGE = before
-
-    return run
-
-
 def test_repeats_with_one_id_and_without(spark):
-    text = "".join(random.Random(1).choice("abcdef") for _ in range(150))
+    rng = random.Random(1)
+    text = "".join(rng.choice("abcdef") for _ in range(150))
     df = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text[:120])], "doc_id long, text string")
     got = sorted((r.doc_id or -1, r.n_removed) for r in suffix.without_repeats(df).collect())
     assert got == [(-1, 0), (1, 150), (1, 150), (2, 120)]
+    got = sorted((r.doc_id, r.n_removed) for r in suffix.without_repeats(df.where("doc_id is not null")).collect())
+    assert got == [(1, 0), (1, 0), (2, 120)]
 
 
 @pytest.mark.parametrize("k", [2, 5])
