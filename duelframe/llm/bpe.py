@@ -106,6 +106,7 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             places = pa.array([coded.indices.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()], pa.binary())
             sizes = pa.array(np.diff(ends[i : j + 1]), pa.int32())
             yield pa.RecordBatch.from_arrays([wrap(part.column(0)), wrap(sizes), places, wrap(coded.dictionary)], names=["doc_ids", "sizes", "places", "words"])
+            pa.default_memory_pool().release_unused()  # a worker is kept for later tasks
 
 
 def _written(vocabulary: list[bytes]):
@@ -133,6 +134,7 @@ def _written(vocabulary: list[bytes]):
                     out.append((len(ids), sha256(text.encode()).hexdigest(), sha256(data if data is not None else b"").hexdigest()))
                 columns = [doc_ids, pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.string()), pa.array([x[2] for x in out], pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                pa.default_memory_pool().release_unused()
 
     return run
 

@@ -129,7 +129,7 @@ def train(texts: list[str], labels: np.ndarray, settings: Settings) -> QualityMo
         raw = _padded(np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8))
         found = np.concatenate([buckets(part, settings)[1] for part in _parts(raw, BLOCK_BYTES)])
         index, n = np.unique(found, return_counts=True)
-        rows.append((index, (n / max(len(found), 1)).astype(np.float32)))
+        rows.append((index.astype(np.int32), (n / max(len(found), 1)).astype(np.float32)))
     vectors = rng.uniform(-1 / settings.dim, 1 / settings.dim, (size, settings.dim)).astype(np.float32)
     output = np.zeros((settings.dim, 2), np.float32)
     bias = np.zeros(2, np.float32)

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 
 from duelframe.session import stage_path
 
-#: Bytes handled by NumPy at once; longer texts are cut at white space by the callers that can add up parts.
-BLOCK_BYTES = 1 << 22
+#: Bytes handled by NumPy at once, of which a worker holds some dozen arrays of eight times the size; longer texts are cut at white space by the callers that can add up parts.
+BLOCK_BYTES = 1 << 20
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
