@@ -152,6 +152,33 @@ def test_fuzzy_lines(spark, corpus, documents):
     assert lines.deduplicated(empty(spark)).count() == 0
 
 
+def _retyped(rng, line, share):
+    """``line`` with one word replaced, or words until ``share`` of its letters may have changed."""
+    words, left = line.split(), share * len(line)
+    for n, i in enumerate(rng.sample(range(len(words)), len(words))):
+        left -= len(words[i]) + 1
+        if n and left < 0:
+            break
+        words[i] = prose(rng, 1)
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("low, high, one, some", [(40, 60, 0.85, 0.8), (60, 120, 0.93, 0.8), (120, 400, 0.97, 0.85)])
+def test_lines_alike_by_edit_similarity_alone(spark, low, high, one, some):
+    """Of the line pairs that edit similarity alone joins, the shares that are found after one word or a tenth has changed."""
+    rng = random.Random(low)
+    bases = []
+    while len(bases) < 150:
+        line = prose(rng, high // 5)[: rng.randint(low, high)].strip()
+        if len(line) >= low:
+            bases.append(line)
+    for share, least in ((0, one), (0.1, some)):
+        pairs = [(a, b) for a in bases for b in [_retyped(rng, a, share)] if a != b and min(len(a), len(b)) >= lines.FUZZY_CHARS and plain.edit_distance(a, b) <= 0.2 * max(len(a), len(b))]
+        assert len(pairs) > 80
+        df = spark.createDataFrame([(2 * i + k, t) for i, p in enumerate(pairs) for k, t in enumerate(p)], "doc_id long, text string")
+        assert sum(r.n_removed for r in lines.deduplicated(df).collect()) >= least * len(pairs)
+
+
 def test_lines_of_the_pipeline_stage(spark):
     df = spark.createDataFrame([(1, "Alpha beta gamma.\nDelta", 23, "s"), (2, "alpha, BETA gamma", 17, "s"), (3, "", 0, "s"), (4, "Delta\nnew", 9, None), (None, "Delta", 5, "s")], "doc_id long, text string, n_chars long, source string")
     got = sorted((r.doc_id or -1, r.text, r.n_chars) for r in lines.with_lines_left(df).collect())
