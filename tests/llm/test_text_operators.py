@@ -1,5 +1,6 @@
 import random
 from hashlib import sha256
+from itertools import combinations
 
 import numpy as np
 import plain
@@ -203,6 +204,51 @@ def test_leaks(spark, corpus, documents):
     assert decontam.leaks(empty(spark), bench).count() == 0 and decontam.leaks(df, bench.limit(0)).count() == 0
 
 
+def _overlaps_plain(docs, items):
+    """(doc, item): agreeing tokens of the best stretch, by every offset and every stretch of it."""
+    out = {}
+    for d, text in docs:
+        own = text.split()
+        for i, item in items:
+            other = item.split()
+            need = min(13, -(-4 * len(other) // 5))
+            for shift in range(1 - len(other), len(own)):
+                same = [own[k + shift] == w for k, w in enumerate(other) if 0 <= k + shift < len(own)]
+                total = np.concatenate(([0], np.cumsum(same)))
+                for a in range(len(same)):
+                    for b in range(a + need, len(same) + 1):
+                        n = int(total[b] - total[a])
+                        if n >= need and 5 * n >= 4 * (b - a):
+                            out[d, i] = max(n, out.get((d, i), 0))
+    return out
+
+
+def test_leaks_against_all_stretches(spark):
+    rng = random.Random(12)
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in [*range(1, 19), 20, 24, 27]]
+    items += [(100 + n, " ".join(rng.choice("abc") for _ in range(n))) for n in (6, 11, 15, 18, 40)]
+    texts = []
+    for n, item in items[:21]:
+        for gone in range(5):
+            tried = list(combinations(range(n), gone))
+            texts += [" ".join("new" if k in at else w for k, w in enumerate(item.split())) for at in rng.sample(tried, min(len(tried), 40))]
+    words = items[20][1].split()
+    texts.append(" ".join([*words[:12], "x", "y", "z", *words[15:]]))
+    words = items[15][1].split()
+    texts.append(" ".join(["before", *words[:4], "x", *words[5:8], "y", *words[9:], "after"]))
+    texts += [" ".join(rng.choice("abcd") for _ in range(60)) for _ in range(20)]
+    docs = list(enumerate(texts))
+    want = _overlaps_plain(docs, items)
+    assert {(len(docs) - 22, 27), (len(docs) - 21, 16)} <= set(want)
+    found = decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.n_agreeing for r in found} == want
+    for r in found:
+        own, item = texts[r.doc_id].split(), dict(items)[r.item_id].split()
+        stretch = own[r.doc_start : r.doc_start + r.n_tokens]
+        same = [sum(x == y for x, y in zip(stretch, item[k:])) for k in range(len(item) - len(stretch) + 1)]
+        assert 5 * r.n_agreeing >= 4 * r.n_tokens and r.n_agreeing in same
+
+
 def test_secrets(spark, corpus):
     rng = random.Random(3)
     key = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
