@@ -1,6 +1,11 @@
 """What the model queries ask of the operators, without the fits."""
 
+import inspect
+
+import pytest
+
 import __spark_entry__ as entry
+from duelframe.catalog import models as catalog
 from duelframe.operators import models
 from duelframe.plans import train
 
@@ -10,3 +15,39 @@ def test_every_match_is_a_fixture(spark, sf_dir, enc, monkeypatch):
     monkeypatch.setattr(train, "predict_fixtures", lambda model, version, history, fixtures, *args, **options: fixtures)
     asked = entry.queries()["M08_predict_fixtures"](spark, sf_dir)
     assert {r.match_id for r in asked.collect()} == {r.match_id for r in enc.select("match_id").collect()}
+
+
+@pytest.fixture(scope="module")
+def data(spark, sf_dir):
+    return catalog.prepared(spark, sf_dir)
+
+
+FULL = {"M02_logistic": 0, "M03_boosted": 1, "M04_calibrated": 1, "M08_predict_fixtures": 0, "M09_compare_and_publish": 1, "S17_model_round_trip": 0, "T04_M03_boosted_backtest": 1, "T04_M02_logistic_backtest": 0}
+
+
+class Asked(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name", FULL)
+def test_fits_are_whole(spark, sf_dir, data, monkeypatch, name):
+    """The first fit of each query has the operator's own trees and iterations."""
+
+    def caught(fit):
+        def stop(*args, **options):
+            bound = inspect.signature(fit).bind(*args, **options)
+            bound.apply_defaults()
+            raise Asked(bound.arguments)
+
+        return stop
+
+    monkeypatch.setattr(catalog, "prepared", lambda *_: data)
+    for fit in ("fit_logistic", "fit_boosted"):
+        monkeypatch.setattr(models, fit, caught(getattr(models, fit)))
+    with pytest.raises(Asked) as e:
+        entry.queries()[name](spark, sf_dir)
+    asked = e.value.args[0]
+    if FULL[name]:
+        assert asked["params"] == {"n_estimators": 500, "learning_rate": 0.03, "max_depth": 5, "subsample": 0.9, "feature_share": 0.9}
+    else:
+        assert asked["max_iter"] == 2000
