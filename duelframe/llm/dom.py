@@ -8,10 +8,12 @@ from html import unescape
 
 # Fixed values of the HTML standard: elements without end tag, with raw text, and with phrasing content.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = "script|style|textarea|title|noscript|template|iframe|svg|math|select|object"
+RAW = "script|style|textarea|title|noscript|template|iframe"
+#: Elements in these are read as part of them and may close themselves; a tag of ``TAGS`` ends them, closed or not.
+FOREIGN = frozenset("svg math".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 #: A new one of these ends an open one of the same set that no other element of ``SCOPE`` shields.
-SAME = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
+SAME = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "svg": (), "math": (), "object": (), "select": ()}
 SCOPE = frozenset("html body table ul ol dl button".split())
 
 TOKEN = re.compile(
@@ -102,7 +104,15 @@ def read(page: str) -> list[Node]:
             if tag == "body":
                 nodes[0].hints |= _hints(m.group(4))
             continue
-        if tag in INLINE:
+        closed = (m.group(4) or "").endswith("/")
+        if nodes[open_[-1][1]].tag in FOREIGN:
+            if tag in _TAG:
+                k = next(k for k, (t, _) in enumerate(open_) if t in FOREIGN)
+                links -= sum(t == "a" for t, _ in open_[k:])
+                del open_[k:]
+            elif closed:
+                continue
+        if tag in INLINE or nodes[open_[-1][1]].tag in FOREIGN:
             open_.append((tag, open_[-1][1]))
             links += tag == "a"
             continue
@@ -114,7 +124,7 @@ def read(page: str) -> list[Node]:
                 break
             if open_[k][0] in SCOPE or (open_[k][0] not in INLINE and ends == ("p",)):
                 break
-        if (m.group(4) or "").endswith("/") and tag not in _TAG:
+        if closed and tag not in _TAG:
             continue
         up = open_[-1][1]
         nodes.append(Node(up, tag, _hints(m.group(4) or ""), nodes[up].depth + 1, m.start()))

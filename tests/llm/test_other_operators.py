@@ -53,6 +53,25 @@ def test_few_vectors_and_none(spark):
     assert ann.nearest(few.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<div><svg width="9"/></div><article><h1>Head</h1><p>All of it.</p></article>', "Head All of it."),
+        ('<svg/><article><p>Between.</p></article><svg><path d="M0"/></svg><p>After.</p>', "Between. After."),
+        ('<svg viewBox="0"><path d="M0"><article><p>Kept.</p></article><p>Too.</p>', "Kept. Too."),
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p><p>So.</p>", "Let x=1 be. So."),
+        ("<math/><p>One.</p><object/><p>Two.</p>", "One. Two."),
+        ("<p>See <object data='a'>the fallback</object> here.</p>", "See the fallback here."),
+        ("<object data='a'><p>Open.</p><article><p>Body.</p></article>", "Open. Body."),
+        ("<select><option>A<option>B<article><p>Body.</p></article>", "A B Body."),
+        ("<script>var a = '<p>no</p>'</script><p>Yes.</p><style>p{}", "Yes."),
+    ],
+)
+def test_no_element_swallows_the_page(page, want):
+    nodes = dom.read(page)
+    assert dom.blocks(nodes, [True] * len(nodes)) == want
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News &amp; more</a></li></ul></nav>
 <div class="ad">Buy now. Cheap things for all.</div>
