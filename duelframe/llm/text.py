@@ -64,6 +64,14 @@ def _powers(n: int) -> list[np.ndarray]:
     return _POWERS
 
 
+def prefix_hashes_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``prefix_hashes`` of a row of mixed numbers in place of bytes."""
+    power, inverse = _powers(len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * power[: len(values)], out=sums[1:])
+    return sums, inverse
+
+
 def prefix_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums ``s`` and factors ``f``: ``(s[end] - s[start]) * f[start]`` is a hash of the run, to be mixed."""
     power, inverse = _powers(len(data) + 1)
