@@ -48,6 +48,40 @@ def parse_dates(spark, sf):
     return raw_rows(spark, sf).select("row_id", S.parse_date("Date").alias("match_date"))
 
 
+# Layouts of one day's date as free text; the last four are no dates.
+FREE_DATES = (
+    "date_format(d, 'MMM d yyyy')",
+    "date_format(d, 'd MMM yyyy')",
+    "date_format(d, 'yyyyMMdd')",
+    "concat(date_format(d, 'dd/MM/yyyy'), ' 15:30')",
+    "concat(date_format(d, 'yyyy-MM-dd'), 'T07:05:09.250+02:00')",
+    "concat(date_format(d, 'EEEE, MMMM d'), case when day(d) in (1, 21, 31) then 'st' when day(d) in (2, 22) then 'nd' when day(d) in (3, 23) then 'rd' else 'th' end, date_format(d, ', yyyy'))",
+    "date_format(d, 'dd-MMM-yy')",
+    "date_format(d, 'ddMMMyyyy')",
+    "date_format(d, 'yyyy MMMM d')",
+    "concat(date_format(d, 'd.M.yy'), ' 3pm')",
+    "date_format(d, 'yyyy/M/d')",
+    "concat('Sept', date_format(d, ' d yyyy'))",
+    "date_format(d, 'd MMM')",
+    "concat(date_format(d, 'd MMM yyyy'), ' or later')",
+    "'30 February 2020'",
+    "'soon'",
+)
+
+
+@query(
+    "P01_generic_dates",
+    f"""select row_id, case when k < 11 then d when k = 11 then make_date(year(d), 9, least(day(d), 30)) end as match_date
+from (select o_orderkey as row_id, cast(o_orderdate as date) as d, o_orderkey % {len(FREE_DATES)} as k from orders)
+where k <> 11 or day(d) < 31""",
+)
+def generic_dates(spark, sf):
+    rows = table(spark, sf, "orders").select(F.col("o_orderkey").alias("row_id"), F.col("o_orderdate").cast("date").alias("d"))
+    rows = rows.withColumn("k", F.col("row_id") % len(FREE_DATES)).filter("k <> 11 or day(d) < 31")
+    cases = " ".join(f"when {k} then {e}" for k, e in enumerate(FREE_DATES))
+    return rows.selectExpr("row_id", f"case k {cases} end as text").select("row_id", S.parse_date("text").alias("match_date"))
+
+
 @query(
     "P02_normalise_names",
     raw_sql(

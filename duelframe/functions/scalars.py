@@ -19,6 +19,19 @@ DATE_STEPS = (
     (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3/$2/$1"),
 )
 
+# English month names, and what may stand around the tokens of a date: a time of day and its offset at
+# the end, a weekday in front, ordinal endings, full stops behind names, and missing blanks around names.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+DATE_NOISE = (
+    (r"[t ]+(\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)?\s*([ap]m)?|\d{1,2}\s*[ap]m)\s*(z|utc|gmt|[+-]\d{2}:?\d{2})?$", ""),
+    (r"^(mon|tue|wed|thu|fri|sat|sun)[a-z]*[,. ]+", ""),
+    (r"(\d)(st|nd|rd|th)\b", "$1"),
+    (r"(?<=\d)(?=[a-z])|(?<=[a-z])(?=\d)", " "),
+    (r"(?<=[a-z])\.", ""),
+)
+# One to three tokens, of which at most one is a name.
+DATE_TOKENS = r"^(?!.*[a-z][^a-z]+[a-z])(\d{1,4}|[a-z]{3,9})([ /.,-]+(\d{1,4}|[a-z]{3,9})){1,2}$"
+
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -34,17 +47,63 @@ def _map_of(values: Mapping[str, str]) -> Column:
 def parse_date(c: Column | str) -> Column:
     """Date from text, day first; month first where the second number cannot be a month; else NULL.
 
-    Accepts day/month/year with two or four year digits, year-month-day, and ``5 Aug 2020``; the separator may
-    be a slash, dash or dot. The parts are put together as an ISO date and read once: failed attempts with one
-    format after another would cost far more than the date itself.
+    The common layouts, day/month/year with two or four year digits and year-month-day with a slash, dash or dot, are
+    put together as an ISO date and read once. All other text is read by ``generic_date``.
     """
     text = F.trim(col(c))
     flat = F.translate(text, "-.", "//")
     for pattern, layout in DATE_STEPS:
         flat = F.regexp_replace(flat, pattern, layout)
     iso = F.translate(F.regexp_extract(flat, r"^\d{4}/\d{1,2}/\d{1,2}$", 0), "/", "-").try_cast("date")
-    named = F.when(text.rlike(r"^\d{1,2} [A-Za-z]{3} \d{4}$"), F.try_to_date(text, "d MMM yyyy"))
-    return F.coalesce(iso, named)
+    return F.coalesce(iso, generic_date(text))
+
+
+def generic_date(c: Column | str) -> Column:
+    """Date from free text by its tokens: numbers, a month name, and what may stand around them.
+
+    A time of day with an offset at the end, a weekday in front, ordinal endings and full stops fall away. What is left
+    must be one to three tokens between spaces or ``/ . , -``:
+
+    * eight digits: year, month, day;
+    * three numbers: a first one of four digits is the year, then month and day; else day, month, year; day and month
+      change places where only that makes a month;
+    * a month name, cut at three letters or more, with two numbers: a number of four digits is the year, else the
+      first is the day; with one number of four digits: the first of that month.
+
+    Years of two digits from 69 on belong to the last century. Anything else, and days that do not exist, are NULL.
+    """
+    day = F.lower(F.trim(col(c)))
+    for pattern, kept in DATE_NOISE:
+        day = F.regexp_replace(day, pattern, kept)
+    # The cleaned text stands in an array of one, so that the many uses below read it once.
+    return F.get(F.transform(F.array(day), _date_of_tokens), F.lit(0)).try_cast("date")
+
+
+def _date_of_tokens(day: Column) -> Column:
+    word = F.regexp_extract(day, r"[a-z]+", 0)
+    numbers = F.regexp_extract_all(day, F.lit(r"\d+"), F.lit(0))
+    named = F.array_position(F.transform(F.array(*map(F.lit, MONTHS)), lambda m: F.startswith(m, word)), True)
+    first, second, third = (F.get(numbers, F.lit(i)) for i in range(3))
+
+    def iso(year: Column, month: Column, date: Column) -> Column:
+        short = F.when(year.cast("int") >= 69, F.concat(F.lit("19"), year)).otherwise(F.concat(F.lit("20"), F.lpad(year, 2, "0")))
+        full = F.when(F.length(year) == 4, year).when(F.length(year) <= 2, short)
+        return F.concat_ws("-", full, F.lpad(month.cast("string"), 2, "0"), F.lpad(date.cast("string"), 2, "0"))
+
+    def either(year: Column, month: Column, date: Column) -> Column:
+        swap = (month.cast("int") > 12) & (date.cast("int") <= 12)
+        return iso(year, F.when(swap, date).otherwise(month), F.when(swap, month).otherwise(date))
+
+    count, four = F.size(numbers), F.length(first) == 4
+    plain = F.when(four, either(first, second, third)).otherwise(either(third, second, first))
+    with_name = F.when(four, iso(first, named, second)).otherwise(iso(second, named, first))
+    return (
+        F.when(day.rlike(r"^\d{8}$"), F.concat_ws("-", F.substring(day, 1, 4), F.substring(day, 5, 2), F.substring(day, 7, 2)))
+        .when(~day.rlike(DATE_TOKENS), None)
+        .when((word == "") & (count == 3), plain)
+        .when((word != "") & (named > 0) & (count == 2), with_name)
+        .when((word != "") & (named > 0) & (count == 1) & four, iso(first, named, F.lit("01")))
+    )
 
 
 def kickoff_timestamp(day: Column | str, time: Column | str) -> Column:
