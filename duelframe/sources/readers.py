@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import csv
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from duelframe.operators import clean, rounds
 from duelframe.operators.ordering import dense_index
@@ -33,9 +35,12 @@ def list_files(spark: SparkSession, glob: str) -> list[str]:
     return found
 
 
+SEASON_LABEL = r"\d{4}-\d{2}"
+
+
 def season_of(path: str) -> str:
     name = path.rstrip("/").rsplit("/", 1)[-1]
-    m = re.search(r"\d{4}-\d{2}", name)
+    m = re.search(SEASON_LABEL, name)
     if not m:
         raise ValueError(f"no season label in file name: {name}")
     return m.group(0)
@@ -44,7 +49,45 @@ def season_of(path: str) -> str:
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """One headered file as text columns; a byte-order mark in front of the header is dropped."""
     df = spark.read.csv(path, header=True)
-    return df.withColumnsRenamed({c: c.lstrip("﻿") for c in df.columns if c.startswith("﻿")})
+    return df.withColumnsRenamed({c: c.lstrip("\ufeff") for c in df.columns if c.startswith("\ufeff")})
+
+
+def header_columns(line: str) -> tuple[str, ...]:
+    """Column names of a header line; empty and repeated ones get their place as a name or an ending."""
+    names = [n.lstrip("\ufeff").strip() for n in next(csv.reader([line.lstrip("\ufeff")]), [])]
+    lower = [n.lower() for n in names]
+    return tuple(f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n for i, n in enumerate(names))
+
+
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Paths by the columns of their first line, read in one job; empty files are left out."""
+    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+    # Lines of a file's first block keep their order within its partition.
+    numbered = lines.where("at = 0").withColumn("place", F.monotonically_increasing_id())
+    first = numbered.groupBy("path").agg(F.min_by("value", "place").alias("line"))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in first.orderBy("path").collect():  # one short line a file
+        out.setdefault(header_columns(r["line"]), []).append(r["path"])
+    return out
+
+
+def read_seasons(spark: SparkSession, glob: str) -> list[DataFrame]:
+    """Season files as text columns with their ``_season``: one scan for all files of the same header.
+
+    A file whose name has no season label is an error. Empty files add no rows.
+    """
+    paths = list_files(spark, glob)
+    for path in paths:
+        season_of(path)
+    frames = []
+    for columns, group in headers(spark, paths).items():
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+        rows = spark.read.schema(schema).csv(group, header=True)
+        # A season may be a file or a folder of part files.
+        named = F.regexp_extract(F.regexp_replace("_metadata.file_path", r"/part-[^/]*$", ""), r"[^/]*$", 0)
+        season = F.regexp_extract(named, SEASON_LABEL, 0)
+        frames.append(rows.select(*(F.col(f"`{c}`") for c in columns), season.alias("_season")))
+    return frames
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -54,21 +97,15 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 def read_matches(spark: SparkSession, glob: str, aliases: Mapping[str, str] = ALIASES) -> DataFrame:
     """All season files to the clean, deduplicated, numbered match table.
 
-    Files differ in columns, so each is read on its own and unified by name; one read over all of them would
-    apply the first header to every file.
+    Files differ in columns: those with the same header are one scan, and there are as many union levels as headers.
     """
-    frames = [
-        clean.clean_season(read_raw(spark, path), F.lit(season_of(path)), aliases) for path in list_files(spark, glob)
-    ]
+    frames = [clean.clean_season(f, F.col("_season"), aliases) for f in read_seasons(spark, glob)]
     return clean.number_matches(_union(frames))
 
 
 def read_extended(spark: SparkSession, glob: str, source: str, aliases: Mapping[str, str] = INGEST_ALIASES) -> DataFrame:
     """All season files to the extended table with matchdays, shots, status, source and natural key."""
-    frames = [
-        clean.clean_extended(read_raw(spark, path), F.lit(season_of(path)), source, aliases)
-        for path in list_files(spark, glob)
-    ]
+    frames = [clean.clean_extended(f, F.col("_season"), source, aliases) for f in read_seasons(spark, glob)]
     ties = ["home_goals", "away_goals", "full_time_result", *clean.SHOT_RENAMES.values()]
     order = ["match_datetime", "home_team", "away_team", *ties]
     # Rounds are cut over all valid rows of a season; copies are dropped after that.
