@@ -8,6 +8,7 @@ from duelframe.catalog.base import query
 from duelframe.catalog.scalars import IMPLIED_SQL, PREDICTED_SQL, with_probabilities
 from duelframe.catalog.testbed import encounters, with_enc
 from duelframe.operators import clean, metrics, registry
+from duelframe.session import stage
 
 _COPIES_SQL = """cop as (
   select season, match_date, home_team, away_team, match_id, c as copy, home_goals + c as home_goals
@@ -142,15 +143,20 @@ def highest_f1(spark, sf):
 @query(
     "U01_concatenate_seasons",
     with_enc(
-        "select match_id, season, odds_home, cast(null as double) as odds_away from enc where season = '1995-96'"
-        " union all select match_id, season, null, odds_away from enc where season = '1996-97'"
+        """select match_id, season, case cast(left(season, 4) as integer) % 3 when 0 then odds_home end as odds_home,
+  case cast(left(season, 4) as integer) % 3 when 1 then odds_draw end as odds_draw,
+  case cast(left(season, 4) as integer) % 3 when 2 then odds_away end as odds_away from enc"""
     ),
 )
 def concatenate(spark, sf):
-    enc = encounters(spark, sf)
-    first = enc.filter("season = '1995-96'").select("match_id", "season", "odds_home")
-    second = enc.filter("season = '1996-97'").select("season", "match_id", "odds_away")
-    return first.unionByName(second, allowMissingColumns=True)
+    """All seasons, each a table of its own with one of three sets of columns in an order of its own."""
+    enc = stage(encounters(spark, sf), "seasons")
+    out = None
+    for r in enc.select("season").distinct().orderBy("season").collect():  # seasons are few
+        odds = ("odds_home", "odds_draw", "odds_away")[int(r.season[:4]) % 3]
+        one = enc.filter(F.col("season") == r.season).select("season", odds, "match_id")
+        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
+    return out.select("match_id", "season", "odds_home", "odds_draw", "odds_away")
 
 
 @query("U02_entity_universe", with_enc("select home_team as name from enc union select away_team from enc"))

@@ -238,7 +238,7 @@ STATE_SQL = (
 )
 def current_states(spark, sf):
     enc = stored(spark, sf)
-    states = asof.entity_states(enc, elo.elo_ratings(enc, "competition", staged=True))
+    states = asof.entity_states(enc, elo.elo_ratings(enc, "competition"))
     return asof.current_states(states).withColumn("elo", F.round("elo", 4))
 
 
@@ -260,8 +260,7 @@ def features(spark, sf):
 @query(
     "W12_J03_fixture_features",
     with_enc(
-        f"select match_id, match_date, home_team, away_team, {_feature_select('')} from imp join sid using (match_id) join rat using (match_id)"
-        " where season in ('2000-01', '2001-02')",
+        f"select match_id, match_date, home_team, away_team, {_feature_select('')} from imp join sid using (match_id) join rat using (match_id)",
         FEATURE_CTES,
         recursive=True,
     ),
@@ -269,9 +268,7 @@ def features(spark, sf):
 def fixture_features(spark, sf):
     # The as-of cut is strict, so fixtures asked against the whole table must give their own feature rows.
     enc = stored(spark, sf)
-    fixtures = enc.filter(F.col("season").isin("2000-01", "2001-02")).select(
-        "match_id", "match_date", "home_team", "away_team", "odds_home", "odds_draw", "odds_away"
-    )
+    fixtures = enc.select("match_id", "match_date", "home_team", "away_team", "odds_home", "odds_draw", "odds_away")
     return _rounded(fixtures_plan.build_fixture_features(enc, fixtures, "competition", keep=("match_id",)))
 
 

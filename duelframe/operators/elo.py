@@ -1,151 +1,123 @@
 """Elo ratings: an ordered fold through opponents.
 
-Two exact ways. Competitions that are closed (no entity plays in another one) and no larger than a checked
-bound are folded in parallel, one Arrow group each. Everything else is solved over the whole table by sweeps:
-guess every rating before every match, turn the guesses into rating changes, sum the changes per entity in
-order, and repeat until nothing moves. A sweep settles at least one more match of every entity, and in practice
-errors shrink far faster; time blocks keep the number of sweeps small. Sweeps are joins, windows and sums only,
-so no competition ever has to fit one task.
+One way at every size. Entities that meet nobody outside a group, directly or over others, form groups that need
+nothing from each other; each is one ordered fold over its matches, in a task of its own. A group of more matches than
+a task should hold is cut in time: its first stretch of matches is grouped anew, among fewer matches into smaller
+groups, then the next stretch begins with the ratings the one before has left. So a hot entity, whose matches only its
+own order can settle, costs its number of matches in one stretch a task, and a large open population falls apart into
+very many groups a stretch.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duelframe.functions import scalars as S
-from duelframe.operators import guard
-from duelframe.operators.sizes import split_by_size
+from duelframe.operators.groups import connected
+from duelframe.operators.ordering import dense_index
 from duelframe.schema import ELO
-from duelframe.session import stage
+from duelframe.session import dropped, stage
 
-# Largest competition that is folded in one task: about 50 bytes a row, so some 50 MB.
-FOLD_LIMIT = 1_000_000
-BLOCK_DAYS = 180
-TOLERANCE = 1e-10
+#: Matches of one group that a task folds, some 60 bytes each.
+TASK_ROWS = 500_000
 _ORDER = ["match_datetime", "home_team", "away_team", "match_id"]
+_OUT = "match_id bigint, elo_home double, elo_away double, team string, elo double"
 
 
-def _waves(home: np.ndarray, away: np.ndarray, entities: int) -> np.ndarray:
-    """How many matches of either side must be settled before each one: matches of one wave touch nobody twice."""
-    reached, wave = np.zeros(entities, np.int64), np.empty(len(home), np.int64)
-    for i, pair in enumerate(np.stack((home, away), 1)):
-        wave[i] = reached[pair].max()
-        reached[pair] = wave[i] + 1
-    return wave
+def _key(team: str) -> Column:
+    """Entities as text; a missing one is an entity of its own."""
+    return F.coalesce(F.concat(F.lit("="), F.col(team).cast("string")), F.lit(""))
 
 
 def _fold(k: float, advantage: float, start: float):
-    """Ratings of one closed group: its matches in waves, all matches of a wave as one array operation."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(_ORDER, kind="stable", na_position="first")
-        codes, names = pd.factorize(pd.concat([pdf["home_team"], pdf["away_team"]]), use_na_sentinel=False)
-        sides = codes.reshape(2, -1)
-        actual = pdf["actual"].to_numpy()
-        table, before = np.full(len(names), start), np.empty((2, len(pdf)))
-        wave = _waves(*sides, len(names))
-        order = np.argsort(wave, kind="stable")
-        for now in np.split(order, np.flatnonzero(np.diff(wave[order])) + 1):
-            own = table[sides[:, now]]
-            before[:, now] = own
-            gain = k * (actual[now] - 1.0 / (1.0 + 10.0 ** ((own[1] - own[0] - advantage) / 400.0)))
-            table[sides[0, now]] += gain
-            table[sides[1, now]] -= gain
-        return pd.DataFrame({"match_id": pdf["match_id"].to_numpy(), "elo_home": before[0], "elo_away": before[1]})
+    """Ratings before each match of a group in order, then a row for each entity with its rating after the last."""
+
+    def run(matches: pa.Table, state: pa.Table) -> pa.Table:
+        matches = matches.sort_by("i")
+        rating = dict(zip(state.column("team").to_pylist(), state.column("elo").to_pylist()))
+        homes, aways, actual = (matches.column(c).to_pylist() for c in ("home", "away", "actual"))
+        before = np.empty((2, len(homes)))
+        for n, (h, a, s) in enumerate(zip(homes, aways, actual)):
+            own, other = rating.get(h, start), rating.get(a, start)
+            before[:, n] = own, other
+            gain = 0.0 if s is None else k * (s - 1.0 / (1.0 + 10.0 ** ((other - own - advantage) / 400.0)))
+            rating[h] = rating.get(h, start) + gain
+            rating[a] = rating.get(a, start) - gain
+        n, m = len(homes), len(rating)
+        return pa.table(
+            {
+                "match_id": pa.concat_arrays([matches.column("match_id").combine_chunks().cast(pa.int64()), pa.nulls(m, pa.int64())]),
+                "elo_home": pa.array([*before[0], *[None] * m], pa.float64()),
+                "elo_away": pa.array([*before[1], *[None] * m], pa.float64()),
+                "team": pa.array([*[None] * n, *rating], pa.string()),
+                "elo": pa.array([*[None] * n, *rating.values()], pa.float64()),
+            }
+        )
 
     return run
 
 
-def fold_ratings(narrow: DataFrame, group: str, params: dict = ELO) -> DataFrame:
-    """Ratings before each match, one ordered fold per group; groups must be of a checked size."""
-    run = _fold(float(params["k_factor"]), float(params["home_advantage"]), float(params["initial_rating"]))
-    columns = [group, *_ORDER, "actual"]
-    return narrow.select(*columns).groupBy(group).applyInPandas(run, "match_id long, elo_home double, elo_away double")
+def _stretches(first: int, last: int, rows: int, task_rows: int) -> Iterator[tuple[int, int]]:
+    """Places first..last cut into stretches that would hold half a task's matches each if they were spread evenly."""
+    parts = min(last - first + 1, max(2, -(-2 * rows // task_rows)))
+    step = -(-(last - first + 1) // parts)
+    for at in range(first, last + 1, step):
+        yield at, min(at + step - 1, last)
 
 
-def sweep_ratings(narrow: DataFrame, params: dict = ELO, block_days: int = BLOCK_DAYS, tolerance: float = TOLERANCE) -> DataFrame:
-    """Ratings before each match by repeated sweeps over the whole table, block of days by block of days."""
-    k, advantage, start = float(params["k_factor"]), float(params["home_advantage"]), float(params["initial_rating"])
-    day = F.datediff("match_date", F.lit("1970-01-01"))
-    first, last, rows = narrow.agg(F.min(day), F.max(day), F.count("*")).first()
-    columns = [*_ORDER, "actual"]
-    if not rows:
-        return narrow.select("match_id", F.lit(start).alias("elo_home"), F.lit(start).alias("elo_away"))
-    blocks = stage(
-        narrow.select(*columns, F.coalesce(F.floor((day - first) / block_days).cast("int"), F.lit(-1)).alias("block")), "elo-blocks", ["block"]
-    )
-    state: DataFrame | None = None
-    done: list[DataFrame] = []
-    # matches without a date come first, as nulls do in the order, in a block of their own
-    for b in range(-1, (last - first) // block_days + 1 if first is not None else 0):
-        block = blocks.filter(F.col("block") == b).select(*columns)
-        if block.isEmpty():
-            continue
-        long = block.select(
-            "*", F.explode(F.array(F.struct(F.col("home_team").alias("team"), F.lit(1.0).alias("sign")),
-                                   F.struct(F.col("away_team").alias("team"), F.lit(-1.0).alias("sign")))).alias("e")
-        ).select(*columns, "e.team", "e.sign")
-        if state is None:
-            long = long.withColumn("base", F.lit(start))
-        else:
-            long = long.join(state.withColumnRenamed("elo", "base"), "team", "left")
-            long = long.withColumn("base", F.coalesce("base", F.lit(start)))
-        # Match payload travels with the entity rows, so a sweep needs no join: entity order, then match pairs.
-        guess = stage(long.withColumn("own", F.col("base")), "elo-sweep")
-        moved = float("inf")
-        by_match = Window.partitionBy("match_id")
-        history = Window.partitionBy("team").orderBy(*_ORDER)
-        while moved > tolerance:
-            home = F.max(F.when(F.col("sign") > 0, F.col("own"))).over(by_match)
-            away = F.max(F.when(F.col("sign") < 0, F.col("own"))).over(by_match)
-            change = F.lit(k) * (F.col("actual") - S.elo_expected("_h", "_a", advantage)) * F.col("sign")
-            nxt = (
-                guess.withColumns({"_h": home, "_a": away})
-                .withColumn("_change", change)
-                .withColumn("_new", F.col("base") + F.coalesce(F.sum("_change").over(history.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-                .select(*columns, "team", "sign", "base", F.col("_new").alias("own"), F.abs(F.col("_new") - F.col("own")).alias("moved"), (F.col("_new") + F.col("_change")).alias("after"))
-            )
-            guess = stage(nxt, "elo-sweep")
-            moved = guess.agg(F.max("moved")).first()[0]
-        settled = guess.groupBy("match_id").agg(
-            F.max(F.when(F.col("sign") > 0, F.col("own"))).alias("elo_home"),
-            F.max(F.when(F.col("sign") < 0, F.col("own"))).alias("elo_away"),
-        )
-        done.append(settled)
-        latest = guess.groupBy("team").agg(F.max_by("after", F.struct(*_ORDER)).alias("elo"))
-        if state is not None:
-            latest = latest.unionByName(state.join(latest, "team", "left_anti"))
-        state = stage(latest, "elo-state")
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
-
-
-def elo_ratings(
-    matches: DataFrame,
-    competition: str | None = None,
-    params: dict = ELO,
-    fold_limit: int = FOLD_LIMIT,
-    block_days: int = BLOCK_DAYS,
-    staged: bool = False,
-) -> DataFrame:
-    """``match_id, elo_home, elo_away``: ratings before each match.
-
-    The input is read by two checks and the fold, so it is staged unless the caller says it is a stored table.
+def elo_ratings(matches: DataFrame, competition: str | None = None, params: dict = ELO, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``match_id, elo_home, elo_away``: ratings before each match, of one rating per entity over all its matches.
+
+    Order is time, then names, then id; matches without a time come first. A match without a result changes nothing, and
+    a missing entity is one like any other. ``competition`` only says whose entities to take as one group at first,
+    which is cheaper than looking at every pair of opponents and right whether or not entities play in several.
     """
-    group = competition or "_all"
-    source = matches if competition else matches.withColumn("_all", F.lit(0))
-    narrow = source.select(group, "match_date", *_ORDER, S.actual_home_score("ftr").alias("actual"))
-    narrow = narrow if staged else stage(narrow, "elo-input")
-    if competition and not guard.competitions_per_entity(narrow, group).isEmpty():
-        return sweep_ratings(narrow, params, block_days)
-    small, large = split_by_size(narrow, group, fold_limit)
-    folded = fold_ratings(small, group, params)
-    return folded if large is None else folded.unionByName(sweep_ratings(large, params, block_days))
+    fold = _fold(float(params["k_factor"]), float(params["home_advantage"]), float(params["initial_rating"]))
+    extra = [F.coalesce(F.concat(F.lit("#"), F.col(competition).cast("string")), F.lit("#")).alias("pool")] if competition else []
+    narrow = matches.select(*_ORDER, _key("home_team").alias("home"), _key("away_team").alias("away"), F.when(F.col("ftr").isNotNull(), S.actual_home_score("ftr")).alias("actual"), *extra)
+    rows = stage(dense_index(narrow, _ORDER, "i").select("i", "match_id", "home", "away", "actual", *(["pool"] if competition else [])), "elo-matches")
+    spark = matches.sparkSession
+    state = spark.createDataFrame([], "team string, elo double")
+    total = rows.agg(F.max("i")).first()[0] or 0
+    done: DataFrame | None = None
+    # Tables of matches still to be rated, earliest last, each with the places it covers.
+    waiting = [(rows, 1, total, bool(competition))] if total else []
+    while waiting:
+        table, first, last, pooled = waiting.pop()
+        if pooled:
+            ends = F.array(F.struct(F.col("home").alias("a"), F.col("pool").alias("b")), F.struct(F.col("away").alias("a"), F.col("pool").alias("b")))
+            edges = table.select(F.explode(ends).alias("e")).select("e.*").distinct()
+        else:
+            edges = table.select(F.col("home").alias("a"), F.col("away").alias("b")).distinct()
+        groups = connected(edges, "elo-groups")
+        placed = stage(table.join(groups.withColumnRenamed("node", "home"), "home"), "elo-placed")
+        sizes = placed.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > task_rows)
+        sizes = stage(sizes, "elo-large")
+        large = sizes.agg(F.sum("n")).first()[0]
+        small = placed if large is None else placed.join(sizes, "group", "left_anti")
+        members = groups.withColumnRenamed("node", "team").join(state, "team")
+        if large is not None:
+            members = members.join(sizes, "group", "left_anti")
+        found = small.select("group", "i", "match_id", "home", "away", "actual").groupBy("group").cogroup(members.groupBy("group")).applyInArrow(fold, _OUT)
+        found = stage(found, "elo-ratings")
+        rated = found.where("team is null").select("match_id", "elo_home", "elo_away")
+        done = rated if done is None else done.unionByName(rated)
+        if large is not None or waiting:
+            latest = found.where("team is not null").select("team", "elo")
+            state = stage(latest.unionByName(state.join(latest.select("team"), "team", "left_anti")), "elo-state")
+        if large is not None:
+            rest = stage(placed.join(sizes.select("group"), "group").drop("group"), "elo-rest")
+            for a, b in reversed(list(_stretches(first, last, large, task_rows))):
+                waiting.append((rest.where(F.col("i").between(a, b)), a, b, False))
+        dropped(groups, placed, sizes)
+    if done is None:
+        return narrow.select("match_id", F.lit(None).cast("double").alias("elo_home"), F.lit(None).cast("double").alias("elo_away"))
+    return done
 
 
 def with_rating_change(rated: DataFrame, params: dict = ELO) -> DataFrame:

@@ -1,6 +1,7 @@
-"""Outcome models on Spark ML: a constant, a multinomial logistic, boosted trees with calibration, and a forest.
+"""Outcome models: a constant, a multinomial logistic, boosted trees with calibration, and flat Spark ML classifiers.
 
-Every model offers ``transform(df)``, which adds ``p_home, p_draw, p_away``.
+Every model but the flat ones offers ``transform(df)``, which adds ``p_home, p_draw, p_away``. The fits named
+``..._folds`` take training rows with a fold number and give one model a fold, all fitted by the same jobs.
 """
 
 from __future__ import annotations
@@ -8,24 +9,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    LogisticRegression,
-    LogisticRegressionModel,
-    RandomForestClassifier,
-)
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from duelframe.functions import scalars as S
+from duelframe.operators import calibration, logistic
+from duelframe.operators.boosting import Trees, fit_trees, tree_scores
 from duelframe.operators.metrics import PROBS, class_frequencies, compute_metrics
+from duelframe.operators.packing import filled, medians
 from duelframe.schema import CLASSES, FEATURES
+from duelframe.session import stage
 
 SEED = 42
 # Boosting parameters of the main model.
@@ -33,25 +29,10 @@ BOOSTING = {"n_estimators": 500, "learning_rate": 0.03, "max_depth": 5, "subsamp
 
 
 def prepare(features: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
-    """Label 0..2 and finite features; anything not finite is missing and left to the imputer."""
+    """Label 0..2 and finite features; anything not finite is missing, and filled by the fits."""
     return features.withColumns({c: S.finite(c) for c in columns} | {"label": S.class_index("ftr").cast("double")})
 
 
-def _imputer(columns: Sequence[str]) -> tuple[Imputer, list[str]]:
-    filled = [f"_f_{c}" for c in columns]
-    imputer = Imputer(strategy="median", inputCols=list(columns), outputCols=filled, relativeError=0.001)
-    return imputer, filled
-
-
-def _spread(df: DataFrame, vector: str = "probability") -> DataFrame:
-    p = vector_to_array(vector)
-    return df.withColumns({name: p[i] for i, name in enumerate(PROBS)})
-
-
-def _slim(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    return df.select(*keep, *[c for c in PROBS if c not in keep])
-
-
 @dataclass
 class ConstantModel:
     """Training class frequencies for every row; three numbers are the whole model."""
@@ -63,143 +44,95 @@ class ConstantModel:
         row = class_frequencies(df).first()
         return cls(tuple(row[c] for c in PROBS))
 
+    @classmethod
+    def fit_folds(cls, df: DataFrame, fold: str = "fold") -> dict[int, "ConstantModel"]:
+        shares = [F.avg((F.col("ftr") == c).cast("double")).alias(p) for c, p in zip(CLASSES, PROBS)]
+        return {r[fold]: cls(tuple(r[c] for c in PROBS)) for r in df.groupBy(fold).agg(*shares).collect()}
+
     def transform(self, df: DataFrame) -> DataFrame:
         return df.withColumns({c: F.lit(p) for c, p in zip(PROBS, self.probs)})
 
 
 @dataclass
 class VectorModel:
-    """A fitted pipeline whose last stage gives a three-class probability vector."""
+    """The multinomial logistic model; scoring is native column arithmetic."""
 
-    fitted: PipelineModel
+    fitted: logistic.LogisticModel
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return _slim(_spread(self.fitted.transform(df)), df.columns)
+        return df.withColumns(dict(zip(PROBS, self.fitted.probabilities())))
 
 
-def fit_logistic(train: DataFrame, columns: Sequence[str] = FEATURES, max_iter: int = 2000, n_rows: int | None = None) -> VectorModel:
-    """Median fill, centre and scale, multinomial logistic with an L2 weight of one.
+def fit_logistic_folds(train: DataFrame, columns: Sequence[str] = FEATURES, max_iter: int = 2000, fold: str = "fold") -> dict[int, VectorModel]:
+    """Median fill, centre and scale, multinomial logistic with an L2 weight of one, for every fold."""
+    rows = stage(train.select(fold, "label", *columns), "logistic-rows")
+    return {k: VectorModel(m) for k, m in logistic.fit_folds(rows, columns, fold, max_iter).items()}
 
-    The loss here is a mean over rows, so the equivalent penalty is 1 / rows.
-    """
-    n = n_rows or train.count()
-    imputer, filled = _imputer(columns)
-    stages = [
-        imputer,
-        VectorAssembler(inputCols=filled, outputCol="_raw"),
-        StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True),
-        LogisticRegression(
-            featuresCol="_x", labelCol="label", family="multinomial", maxIter=max_iter, regParam=1.0 / n, standardization=False
-        ),
-    ]
-    return VectorModel(Pipeline(stages=stages).fit(train))
+
+def fit_logistic(train: DataFrame, columns: Sequence[str] = FEATURES, max_iter: int = 2000) -> VectorModel:
+    return fit_logistic_folds(train.withColumn("fold", F.lit(0)), columns, max_iter)[0]
 
 
 @dataclass
 class BoostedModel:
-    """One boosted binary model per class on shared inputs; scores are normalised to a triple."""
+    """Boosted trees on median-filled columns; scores are calibrated if asked, and normalised to a triple."""
 
-    inputs: PipelineModel
-    members: list[GBTClassificationModel]
-    calibrators: list[Model] | None = None
+    columns: tuple[str, ...]
+    medians: list[float]
+    blocks: list[Trees]
+    calibrators: list[dict] | None = None
     method: str = "none"
 
     def raw(self, df: DataFrame) -> DataFrame:
         """Uncalibrated class scores, in columns ``_s0.._s2``."""
-        out = self.inputs.transform(df)
-        for i, member in enumerate(self.members):
-            scored = member.copy()
-            scored.setRawPredictionCol(f"_raw{i}")
-            scored.setProbabilityCol(f"_p{i}")
-            scored.setPredictionCol(f"_y{i}")
-            out = scored.transform(out).withColumn(f"_s{i}", vector_to_array(f"_p{i}")[1]).drop(f"_raw{i}", f"_p{i}", f"_y{i}")
-        return out
+        inputs = [F.coalesce(F.col(c).cast("double"), F.lit(float(m))).alias(c) for c, m in zip(self.columns, self.medians)]
+        out = df.withColumn("_s", tree_scores(self.blocks, inputs))
+        return out.withColumns({f"_s{i}": F.col(f"_s.s{i}") for i in range(3)}).drop("_s")
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        out = self.raw(df)
+    def calibrated(self, scored: DataFrame) -> DataFrame:
+        """Probabilities from the columns of ``raw``, which go."""
         names = [f"_s{i}" for i in range(3)]
         if self.calibrators:
-            for i, cal in enumerate(self.calibrators):
-                out = _apply_calibrator(out, cal, names[i], f"_k{i}")
+            scored = scored.withColumns({f"_k{i}": calibration.applied(c, f"_s{i}") for i, c in enumerate(self.calibrators)})
             names = [f"_k{i}" for i in range(3)]
         triple = S.sanitise_triple(*names)
-        return _slim(out.withColumns(dict(zip(PROBS, triple))), df.columns)
+        return scored.withColumns(dict(zip(PROBS, triple))).drop(*(f"_{k}{i}" for k in "sk" for i in range(3)))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.calibrated(self.raw(df))
+
+
+def fit_boosted_folds(train: DataFrame, columns: Sequence[str] = FEATURES, params: dict = BOOSTING, seed: int = SEED, fold: str = "fold") -> dict[int, BoostedModel]:
+    """Boosted trees for every fold, all in one job. Rows of a fold beyond the bound of ``boosting`` are drawn by hash."""
+    rows = stage(train.select(fold, "label", *columns), "boosting-rows")
+    middle = medians(rows, columns, fold)
+    trees = fit_trees(filled(rows, columns, middle, fold), columns, params, seed, fold)
+    return {k: BoostedModel(tuple(columns), [float(m) for m in middle[k]], t) for k, t in trees.items()}
 
 
 def fit_boosted(train: DataFrame, columns: Sequence[str] = FEATURES, params: dict = BOOSTING, seed: int = SEED) -> BoostedModel:
-    imputer, filled = _imputer(columns)
-    inputs = Pipeline(stages=[imputer, VectorAssembler(inputCols=filled, outputCol="_x")]).fit(train)
-    ready = inputs.transform(train).select("_x", "label").persist(StorageLevel.MEMORY_AND_DISK)
-    members = []
-    for i in range(len(CLASSES)):
-        gbt = GBTClassifier(
-            featuresCol="_x",
-            labelCol="_hit",
-            maxIter=params["n_estimators"],
-            stepSize=params["learning_rate"],
-            maxDepth=params["max_depth"],
-            subsamplingRate=params["subsample"],
-            featureSubsetStrategy=str(params["feature_share"]),
-            seed=seed,
-        )
-        members.append(gbt.fit(ready.withColumn("_hit", (F.col("label") == i).cast("double"))))
-    ready.unpersist()
-    return BoostedModel(inputs, members)
-
-
-def _apply_calibrator(df: DataFrame, model: Model, score: str, out: str) -> DataFrame:
-    vec = VectorAssembler(inputCols=[score], outputCol="_cx").transform(df)
-    model = model.copy()
-    model.setPredictionCol("_cy")
-    if isinstance(model, IsotonicRegressionModel):
-        return model.transform(vec).withColumnRenamed("_cy", out).drop("_cx")
-    model.setProbabilityCol("_cp")
-    model.setRawPredictionCol("_cr")
-    done = model.transform(vec)
-    return done.withColumn(out, vector_to_array("_cp")[1]).drop("_cx", "_cy", "_cp", "_cr")
-
-
-def _fit_sigmoid(scored: DataFrame, score: str, hit: str) -> LogisticRegressionModel:
-    """Two-parameter sigmoid on smoothed targets: each row counts with its target as 1 and the rest as 0."""
-    n_pos, n_all = scored.agg(F.sum(hit), F.count("*")).first()
-    high, low = (n_pos + 1.0) / (n_pos + 2.0), 1.0 / (n_all - n_pos + 2.0)
-    target = F.when(F.col(hit) == 1, F.lit(high)).otherwise(F.lit(low))
-    sides = F.array(
-        F.struct(F.lit(1.0).alias("y"), target.alias("w")), F.struct(F.lit(0.0).alias("y"), (F.lit(1.0) - target).alias("w"))
-    )
-    rows = scored.select(score, F.explode(sides).alias("e")).select(score, "e.y", "e.w")
-    vec = VectorAssembler(inputCols=[score], outputCol="_cx").transform(rows)
-    lr = LogisticRegression(featuresCol="_cx", labelCol="y", weightCol="w", regParam=0.0, maxIter=200)
-    return lr.fit(vec)
-
-
-def _fit_isotonic(scored: DataFrame, score: str, hit: str) -> IsotonicRegressionModel:
-    """Monotone fit; equal scores are averaged before, so the fit sees each distinct score once."""
-    rows = scored.groupBy(score).agg(F.avg(hit).alias("y"), F.count("*").cast("double").alias("w"))
-    vec = VectorAssembler(inputCols=[score], outputCol="_cx").transform(rows)
-    return IsotonicRegression(featuresCol="_cx", labelCol="y", weightCol="w").fit(vec)
-
-
-_CALIBRATORS = {"sigmoid": _fit_sigmoid, "isotonic": _fit_isotonic}
+    return fit_boosted_folds(train.withColumn("fold", F.lit(0)), columns, params, seed)[0]
 
 
 def calibrate(model: BoostedModel, validation: DataFrame, methods: Sequence[str] = ("sigmoid",)) -> tuple[BoostedModel, list[dict]]:
     """Fit each calibration on the validation rows and keep the lowest log loss, the raw model included.
 
-    The rows that fit the calibrator also choose it, so the returned scores are optimistic: judge on test rows.
-    Unknown methods are an error; a tie keeps the earlier candidate, raw first.
+    Rows are scored once; calibrations are fitted, applied and compared on the stored scores. The rows that fit the
+    calibrator also choose it, so the returned scores are optimistic: judge on test rows. Unknown methods are an
+    error; a tie keeps the earlier candidate, raw first.
     """
-    scored = model.raw(validation).select("label", "_s0", "_s1", "_s2").persist(StorageLevel.MEMORY_AND_DISK)
+    scored = stage(model.raw(validation).select("label", "ftr", "_s0", "_s1", "_s2"), "scores")
     candidates = [model]
     for method in methods:
-        if method == "none":
-            continue
-        fits = [
-            _CALIBRATORS[method](scored.withColumn("_hit", (F.col("label") == i).cast("int")), f"_s{i}", "_hit") for i in range(3)
-        ]
-        candidates.append(BoostedModel(model.inputs, model.members, fits, method))
-    scored.unpersist()
-    rows = [{"name": c.method, **evaluate(c, validation)} for c in candidates]
+        if method != "none":
+            fits = calibration.FITS[method](scored, ["_s0", "_s1", "_s2"])
+            candidates.append(BoostedModel(model.columns, model.medians, model.blocks, fits, method))
+    tried = None
+    for i, c in enumerate(candidates):
+        one = c.calibrated(scored).select(F.lit(i).alias("i"), "ftr", *PROBS)
+        tried = one if tried is None else tried.unionByName(one)
+    measured = {r["i"]: r for r in compute_metrics(tried, ["i"]).collect()}
+    rows = [{"name": c.method, **{k: measured[i][k] for k in ("n_rows", "log_loss", "accuracy", "brier")}} for i, c in enumerate(candidates)]
     best = min(range(len(rows)), key=lambda i: (rows[i]["log_loss"], i))
     return candidates[best], rows
 

@@ -58,7 +58,18 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables of ``stage`` that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.staged_path)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        if df.staged_path in _STAGED:
+            _STAGED.remove(df.staged_path)
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
-from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelframe.functions.scalars import log_line
+from duelframe.operators.boosting import Trees
+from duelframe.operators.logistic import LogisticModel
 from duelframe.operators.models import BoostedModel, ConstantModel, VectorModel
 from duelframe.operators.splits import season_split, split_counts
 from duelframe.schema import CLASSES, FEATURES
@@ -82,15 +82,13 @@ def save_model(spark: SparkSession, model, path: str, metadata: Mapping[str, Any
     if isinstance(model, ConstantModel):
         meta |= {"kind": "constant", "probs": list(model.probs)}
     elif isinstance(model, VectorModel):
-        meta["kind"] = "vector"
-        model.fitted.write().overwrite().save(f"{folder}/model")
+        meta |= {"kind": "vector", "model": json.dumps(vars(model.fitted))}
     elif isinstance(model, BoostedModel):
-        meta |= {"kind": "boosted", "method": model.method}
-        model.inputs.write().overwrite().save(f"{folder}/inputs")
-        for i, member in enumerate(model.members):
-            member.write().overwrite().save(f"{folder}/member{i}")
-        for i, cal in enumerate(model.calibrators or []):
-            cal.write().overwrite().save(f"{folder}/calibrator{i}")
+        parts = {"columns": model.columns, "medians": model.medians, "calibrators": model.calibrators}
+        meta |= {"kind": "boosted", "method": model.method, "model": json.dumps(parts)}
+        # A model has at most ``boosting.MAX_BLOCKS`` blocks of trees, a megabyte each.
+        rows = [(i, bytearray(t.to_bytes())) for i, t in enumerate(model.blocks)]
+        spark.createDataFrame(rows, "block int, trees binary").write.mode("overwrite").parquet(f"{folder}/trees")
     else:
         raise TypeError(f"cannot save {type(model).__name__}")
     write_json(spark, meta, f"{folder}/metadata")
@@ -107,10 +105,8 @@ def load_model(spark: SparkSession, path: str, version: str | None = None):
     meta = spark.read.json(f"{folder}/metadata").first().asDict(recursive=True)
     if meta["kind"] == "constant":
         return ConstantModel(tuple(meta["probs"])), meta
+    parts = json.loads(meta["model"])
     if meta["kind"] == "vector":
-        return VectorModel(PipelineModel.load(f"{folder}/model")), meta
-    members = [GBTClassificationModel.load(f"{folder}/member{i}") for i in range(len(CLASSES))]
-    loaders = {"sigmoid": LogisticRegressionModel, "isotonic": IsotonicRegressionModel}
-    loader = loaders.get(meta["method"])
-    calibrators = [loader.load(f"{folder}/calibrator{i}") for i in range(len(CLASSES))] if loader else None
-    return BoostedModel(PipelineModel.load(f"{folder}/inputs"), members, calibrators, meta["method"]), meta
+        return VectorModel(LogisticModel(**(parts | {"columns": tuple(parts["columns"])}))), meta
+    blocks = [Trees.from_bytes(bytes(r["trees"])) for r in spark.read.parquet(f"{folder}/trees").orderBy("block").collect()]
+    return BoostedModel(tuple(parts["columns"]), parts["medians"], blocks, parts["calibrators"], meta["method"]), meta

@@ -4,15 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from duelframe.functions import scalars as S
-from duelframe.operators import elo, rounds
-
-ORDER = ["match_datetime", "home_team", "away_team", "match_id"]
-
-
-def narrow(df):
-    return df.select("competition", "match_date", *ORDER, S.actual_home_score("ftr").alias("actual"))
-
+from duelframe.operators import elo, groups, rounds
 
 def ratings(df):
     return {r["match_id"]: (r["elo_home"], r["elo_away"]) for r in df.collect()}
@@ -48,24 +40,32 @@ def test_one_step(matches_of):
     assert got[2][0] + got[2][1] == pytest.approx(3000.0)
 
 
-def test_fold_equals_replay(enc):
+def test_ratings_equal_replay(enc):
     close(ratings(elo.elo_ratings(enc, "competition")), expected(enc.collect()))
+    close(ratings(elo.elo_ratings(enc)), expected(enc.collect()))
 
 
-@pytest.mark.parametrize("block_days", [10_000, 14])
-def test_sweeps_equal_replay(matches_of, block_days):
+def test_groups_larger_than_a_task_are_cut_in_time(matches_of):
     df = matches_of(random_season(28))
-    close(ratings(elo.sweep_ratings(narrow(df), block_days=block_days)), expected(df.collect()))
+    close(ratings(elo.elo_ratings(df, task_rows=40)), expected(df.collect()))
+
 
+def test_hot_entity(matches_of):
+    rng = random.Random(2)
+    rows = [(f"2020-{1 + i // 28:02d}-{1 + i % 28:02d}", "hot", f"T{rng.randint(0, 20)}", rng.randint(0, 3), rng.randint(0, 3)) for i in range(40)]
+    rows += [(d, f"A{rng.randint(0, 60)}", f"B{rng.randint(0, 60)}", h, a) for d, _, _, h, a in rows for _ in range(2)]
+    df = matches_of(rows)
+    close(ratings(elo.elo_ratings(df, "competition", task_rows=30)), expected(df.collect()))
 
-def test_sweeps_with_many_matches_of_an_entity_per_day(matches_of):
+
+def test_many_matches_of_an_entity_per_day(matches_of):
     rng = random.Random(5)
     rows = [("2020-01-0" + str(1 + i // 12), f"T{rng.randint(0, 3)}", f"U{rng.randint(0, 3)}", rng.randint(0, 3), rng.randint(0, 3)) for i in range(36)]
     df = matches_of(rows)
-    close(ratings(elo.sweep_ratings(narrow(df))), expected(df.collect()))
+    close(ratings(elo.elo_ratings(df, task_rows=20)), expected(df.collect()))
 
 
-def test_mixed_fold_and_sweep(matches_of):
+def test_groups_of_different_size(matches_of):
     first = matches_of(random_season(20, 6, 1))
     second = matches_of(random_season(12, 4, 2)).withColumns(
         {"match_id": F.col("match_id") + 1000, "competition": F.lit(2), "home_team": F.concat(F.lit("Z"), "home_team"), "away_team": F.concat(F.lit("Z"), "away_team")}
@@ -73,7 +73,20 @@ def test_mixed_fold_and_sweep(matches_of):
     df = first.unionByName(second)
     limit = second.count()
     assert first.count() > limit
-    close(ratings(elo.elo_ratings(df, "competition", fold_limit=limit)), expected(df.collect()))
+    close(ratings(elo.elo_ratings(df, "competition", task_rows=limit)), expected(df.collect()))
+
+
+def test_ratings_of_nothing_and_without_result_or_entity(matches_of):
+    df = matches_of([("2020-01-01", "A", None, 1, 0), ("2020-01-02", None, "B", 0, 0), ("2020-01-03", "A", "B", 2, 0)])
+    assert elo.elo_ratings(df.limit(0)).collect() == []
+    got = ratings(elo.elo_ratings(df.withColumn("ftr", F.when(F.col("match_id") != 2, F.col("ftr")))))
+    assert got[1] == (1500.0, 1500.0) and got[2][0] == pytest.approx(1500 - (got[3][0] - 1500)) and got[3][1] == 1500.0
+
+
+def test_connected(spark):
+    edges = [(f"n{i}", f"n{i + 1}") for i in range(40)] + [("x", "y"), ("y", "z"), ("m", "m")]
+    got = {r.node: r.group for r in groups.connected(spark.createDataFrame(edges, "a string, b string")).collect()}
+    assert got == {f"n{i}": "n0" for i in range(41)} | dict.fromkeys("xyz", "x") | {"m": "m"}
 
 
 def test_entity_in_two_competitions_keeps_one_rating(matches_of):
@@ -84,7 +97,7 @@ def test_entity_in_two_competitions_keeps_one_rating(matches_of):
 def test_rounds_equal_replay(matches_of, enc):
     df = matches_of(random_season(40, 8, 4)).withColumn("season", F.when(F.col("match_id") % 3 == 0, "2020-21").otherwise("2021-22"))
     want = brute.rounds([r.asDict() for r in df.collect()])
-    for got in (rounds.matchdays(df), rounds.matchdays(df, block=7)):
+    for got in (rounds.matchdays(df), rounds.matchdays(df, block=7), rounds.matchdays(df, block=2)):
         assert {r["match_id"]: r["matchday"] for r in got.collect()} == want
     want = brute.rounds([r.asDict() for r in enc.collect()])
     assert {r["match_id"]: r["matchday"] for r in rounds.matchdays(enc).collect()} == want
@@ -100,6 +113,6 @@ def test_no_row_is_lost_without_season_or_date(matches_of):
     assert {r["match_id"]: r["matchday"] for r in rounds.matchdays(df).collect()} == brute.rounds([r.asDict() for r in df.collect()])
     gone = F.when(F.col("match_id") != 3, F.col("match_date"))
     undated = df.withColumns({"match_date": gone, "match_datetime": gone.cast("timestamp")})
-    swept = ratings(elo.sweep_ratings(narrow(undated), block_days=10))
-    assert len(swept) == df.count()
-    close(ratings(elo.elo_ratings(undated)), swept)
+    whole = ratings(elo.elo_ratings(undated))
+    assert len(whole) == df.count()
+    close(ratings(elo.elo_ratings(undated, task_rows=12)), whole)

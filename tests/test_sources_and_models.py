@@ -159,8 +159,8 @@ def test_rolling_backtest_uses_only_earlier_seasons(features):
     seen = []
 
     def fit(df):
-        seen.append(df.agg(F.max("season")).first()[0])
-        return models.ConstantModel.fit(df)
+        seen.extend(r[1] for r in df.groupBy("fold").agg(F.max("season")).orderBy("fold").collect())
+        return models.ConstantModel.fit_folds(df)
 
     rows = train.rolling_backtest(features, fit).collect()
     assert [r.train_up_to for r in rows] == seen
