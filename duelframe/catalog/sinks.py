@@ -11,6 +11,7 @@ from duelframe.catalog.base import query
 from duelframe.catalog.ordering import CANDIDATES_SQL, candidates
 from duelframe.catalog.scalars import IMPLIED_SQL, PREDICTED_SQL, with_probabilities
 from duelframe.catalog.testbed import encounters, with_enc
+from duelframe.catalog.windows import FEATURES_SQL, RATED
 from duelframe.functions import scalars as S
 from duelframe.operators import metrics
 from duelframe.plans import features as features_plan
@@ -33,14 +34,14 @@ def write_split_counts(spark, sf):
     return writers.write_splits(encounters(spark, sf).select("match_id", "season"), stage_path(spark, "splits"), SEASONS)
 
 
-@query(
-    "S11_write_feature_table",
-    with_enc("select season, cast(count(*) as bigint) as n_rows, sum(home_goals) as home_goals from enc group by season"),
-)
+@query("S11_write_feature_table", FEATURES_SQL)
 def write_features(spark, sf):
+    """All columns of the written table, read back."""
     path = stage_path(spark, "features")
-    writers.write_table(features_plan.build_features(encounters(spark, sf), "competition"), path, ["season"])
-    return spark.read.parquet(path).groupBy("season").agg(F.count("*").alias("n_rows"), F.sum("home_goals").alias("home_goals"))
+    features = features_plan.build_features(encounters(spark, sf), "competition")
+    writers.write_table(features, path, ["season"])
+    back = spark.read.parquet(path).select(*features.columns)
+    return back.withColumns({c: F.round(c, 4) for c in RATED})
 
 
 _PREDICTIONS = "match_date date, home_team long, away_team long, P_home double, P_draw double, P_away double, predicted_outcome string, model_version string"

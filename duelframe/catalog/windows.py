@@ -8,10 +8,11 @@ from duelframe.catalog.base import query
 from duelframe.catalog.scalars import IMPLIED_SQL
 from duelframe.catalog.testbed import encounters, stored, table, with_enc
 from duelframe.functions import scalars as S
-from duelframe.operators import asof, elo, form, guard, longform, rounds
+from duelframe.operators import asof, elo, form, guard, longform, rounds, snapshot
 from duelframe.plans import features as features_plan
 from duelframe.plans import fixtures as fixtures_plan
 from duelframe.schema import FEATURES
+from duelframe.session import stage
 
 LONG_SQL = """lng as (
   select match_id, match_date, home_team, away_team, home_team as team, away_team as opponent, true as is_home,
@@ -65,7 +66,7 @@ rat as materialized (
   select match_id, max(case when sgn = 1 then r end) as elo_home, max(case when sgn = -1 then r end) as elo_away
   from plays join elo using (i, team) group by match_id)"""
 
-_RATED = {"elo_home", "elo_away", "elo_diff"}
+RATED = {"elo_home", "elo_away", "elo_diff"}
 
 
 def _feature_select(alias: str) -> str:
@@ -82,7 +83,7 @@ def _feature_select(alias: str) -> str:
     parts = []
     for f in FEATURES:
         expr = source.get(f, f)
-        parts.append(f"round({expr}, 4) as {f}" if f in _RATED else f"{expr} as {f}")
+        parts.append(f"round({expr}, 4) as {f}" if f in RATED else f"{expr} as {f}")
     return ", ".join(parts)
 
 
@@ -90,7 +91,7 @@ FEATURE_CTES = f"{IMPLIED_SQL},\n{FORM_SQL},\n{ELO_SQL}"
 
 
 def _rounded(df):
-    return df.withColumns({c: F.round(c, 4) for c in _RATED})
+    return df.withColumns({c: F.round(c, 4) for c in RATED})
 
 
 @query("J01_entity_rows", with_enc("select * from lng", LONG_SQL))
@@ -224,35 +225,44 @@ STATE_SQL = (
 )
 
 
-@query(
-    "W10_current_states",
-    with_enc(
-        "select team, round(elo, 4) as elo, match_date as last_date, "
+STATES_SQL = with_enc(
+    "select team, round(elo, 4) as elo, match_date as last_date, "
         + ", ".join(form.FORM_STATS)
         + ", coalesce((select arg_max(venue, match_date) from aft b where b.team = aft.team and b.is_home), 1.35e0) as home_points_5"
         + ", coalesce((select arg_max(venue, match_date) from aft b where b.team = aft.team and not b.is_home), 1.35e0) as away_points_5"
         + " from aft join fin using (team) where back = 1",
         STATE_SQL,
         recursive=True,
-    ),
-)
+    )
+
+
+@query("W10_current_states", STATES_SQL)
 def current_states(spark, sf):
     enc = stored(spark, sf)
     states = asof.entity_states(enc, elo.elo_ratings(enc, "competition"))
     return asof.current_states(states).withColumn("elo", F.round("elo", 4))
 
 
+@query("W10_updated_snapshot", STATES_SQL)
+def updated_snapshot(spark, sf):
+    """All matches before 1998 as a snapshot, and the later ones folded in as an increment."""
+    enc = stored(spark, sf)
+    before = stage(snapshot.stretch(enc.filter("match_date < '1998-01-01'"), None, "competition"), "snapshot")
+    after = snapshot.updated(before, enc.filter("match_date >= '1998-01-01'"), "competition")
+    return snapshot.states(after).withColumn("elo", F.round("elo", 4))
+
+
 _KEYS = "match_id, season, match_date, home_team, away_team, ftr, home_goals, away_goals"
 
 
-@query(
-    "W11_features",
-    with_enc(
-        f"select {_KEYS}, {_feature_select('')} from imp join sid using (match_id) join rat using (match_id)",
-        FEATURE_CTES,
-        recursive=True,
-    ),
+FEATURES_SQL = with_enc(
+    f"select {_KEYS}, {_feature_select('')} from imp join sid using (match_id) join rat using (match_id)",
+    FEATURE_CTES,
+    recursive=True,
 )
+
+
+@query("W11_features", FEATURES_SQL)
 def features(spark, sf):
     return _rounded(features_plan.build_features(encounters(spark, sf), "competition"))
 

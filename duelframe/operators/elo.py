@@ -70,19 +70,20 @@ def _stretches(first: int, last: int, rows: int, task_rows: int) -> Iterator[tup
         yield at, min(at + step - 1, last)
 
 
-def elo_ratings(matches: DataFrame, competition: str | None = None, params: dict = ELO, task_rows: int = TASK_ROWS) -> DataFrame:
+def elo_ratings(matches: DataFrame, competition: str | None = None, params: dict = ELO, task_rows: int = TASK_ROWS, initial: DataFrame | None = None) -> DataFrame:
     """``match_id, elo_home, elo_away``: ratings before each match, of one rating per entity over all its matches.
 
     Order is time, then names, then id; matches without a time come first. A match without a result changes nothing, and
     a missing entity is one like any other. ``competition`` only says whose entities to take as one group at first,
     which is cheaper than looking at every pair of opponents and right whether or not entities play in several.
+    ``initial`` has the ratings ``(team, elo)`` that entities begin with, instead of the common one.
     """
     fold = _fold(float(params["k_factor"]), float(params["home_advantage"]), float(params["initial_rating"]))
     extra = [F.coalesce(F.concat(F.lit("#"), F.col(competition).cast("string")), F.lit("#")).alias("pool")] if competition else []
     narrow = matches.select(*_ORDER, _key("home_team").alias("home"), _key("away_team").alias("away"), F.when(F.col("ftr").isNotNull(), S.actual_home_score("ftr")).alias("actual"), *extra)
     rows = stage(dense_index(narrow, _ORDER, "i").select("i", "match_id", "home", "away", "actual", *(["pool"] if competition else [])), "elo-matches")
     spark = matches.sparkSession
-    state = spark.createDataFrame([], "team string, elo double")
+    state = spark.createDataFrame([], "team string, elo double") if initial is None else initial.select(_key("team").alias("team"), "elo")
     total = rows.agg(F.max("i")).first()[0] or 0
     done: DataFrame | None = None
     # Tables of matches still to be rated, earliest last, each with the places it covers.

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from duelframe.operators import blocks
 from duelframe.operators.ordering import dense_index
 from duelframe.schema import MATCH_ORDER, PRIORS
 
@@ -24,12 +25,18 @@ def _history(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(*MATCH_ORDER)
 
 
-def with_form(long: DataFrame, stats: Mapping[str, tuple[str, int]] = FORM_STATS, priors: Mapping[str, float] = PRIORS) -> DataFrame:
+def with_form(long: DataFrame, stats: Mapping[str, tuple[str, int]] = FORM_STATS, priors: Mapping[str, float] = PRIORS, spread: bool = False) -> DataFrame:
     """Mean of the last N matches at any venue, current match excluded, prior when there is none.
 
     The window partition is one entity. After the past-only guard an entity has at most one row per calendar
-    date, so a partition is bounded by the calendar, however large the table is.
+    date, so a partition is bounded by the calendar, however large the table is. ``spread``, here and below, is for
+    tables without the guard: the same frames over blocks of rows.
     """
+    if spread:
+        def mean(field: str, n: int):
+            return lambda w: F.coalesce(F.avg(field).over(w.rowsBetween(-n, -1)), F.lit(float(priors[field])))
+
+        return blocks.framed(long, ["team"], MATCH_ORDER, max(n for _, n in stats.values()), {name: mean(*s) for name, s in stats.items()})
     w = _history(["team"])
     return long.withColumns(
         {
@@ -39,13 +46,19 @@ def with_form(long: DataFrame, stats: Mapping[str, tuple[str, int]] = FORM_STATS
     )
 
 
-def with_venue_form(long: DataFrame, n: int = 5, prior: float = PRIORS["points"]) -> DataFrame:
+def with_venue_form(long: DataFrame, n: int = 5, prior: float = PRIORS["points"], spread: bool = False) -> DataFrame:
     """Mean points of the last ``n`` matches at the same venue."""
+    if spread:
+        mean = lambda w: F.coalesce(F.avg("points").over(w.rowsBetween(-n, -1)), F.lit(float(prior)))
+        return blocks.framed(long, ["team", "is_home"], MATCH_ORDER, n, {"venue_points": mean})
     w = _history(["team", "is_home"]).rowsBetween(-n, -1)
     return long.withColumn("venue_points", F.coalesce(F.avg("points").over(w), F.lit(float(prior))))
 
 
-def with_rest_days(long: DataFrame, prior: float = PRIORS["rest_days"]) -> DataFrame:
+def with_rest_days(long: DataFrame, prior: float = PRIORS["rest_days"], spread: bool = False) -> DataFrame:
+    if spread:
+        days = lambda w: F.datediff("match_date", F.lag("match_date").over(w)).cast("double")
+        return blocks.framed(long, ["team"], MATCH_ORDER, 1, {"rest_days": lambda w: F.coalesce(days(w), F.lit(float(prior)))})
     gap = F.datediff("match_date", F.lag("match_date").over(_history(["team"])))
     return long.withColumn("rest_days", F.coalesce(gap.cast("double"), F.lit(float(prior))))
 
