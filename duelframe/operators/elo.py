@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +38,10 @@ def _key(team: str) -> Column:
 def _fold(k: float, advantage: float, start: float):
     """Ratings before each match of a group in order, then a row for each entity with its rating after the last."""
 
-    def run(matches: pa.Table, state: pa.Table) -> pa.Table:
-        matches = matches.sort_by("i")
-        rating = dict(zip(state.column("team").to_pylist(), state.column("elo").to_pylist()))
+    def run(matches: pa.Table, state: pa.Table | None = None) -> pa.Table:
+        order = [(c, "ascending") for c in _ORDER]
+        matches = matches.take(pc.sort_indices(matches.select(_ORDER), sort_keys=order, null_placement="at_start"))
+        rating = dict(zip(state.column("team").to_pylist(), state.column("elo").to_pylist())) if state is not None else {}
         homes, aways, actual = (matches.column(c).to_pylist() for c in ("home", "away", "actual"))
         before = np.empty((2, len(homes)))
         for n, (h, a, s) in enumerate(zip(homes, aways, actual)):
@@ -62,6 +64,25 @@ def _fold(k: float, advantage: float, start: float):
     return run
 
 
+def _by_opponents(table: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Matches with the group of their entities, and tables to drop once the result has been used."""
+    groups = connected(table.select(F.col("home").alias("a"), F.col("away").alias("b")).distinct(), "elo-groups")
+    placed = stage(table.join(groups.withColumnRenamed("node", "home"), "home"), "elo-placed")
+    return placed, [groups, placed]
+
+
+def _by_pools(table: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """The same from competitions: those that share an entity are one group, so only they are connected."""
+    plays = table.select(F.explode(F.array("home", "away")).alias("team"), "pool").distinct()
+    several = plays.groupBy("team").agg(F.min("pool").alias("a"), F.max("pool").alias("b")).where("a < b").select("team", "a")
+    edges = stage(plays.join(several, "team").select("a", F.col("pool").alias("b")).distinct(), "elo-pools")
+    if edges.isEmpty():
+        return table.withColumn("group", F.col("pool")), [edges]
+    groups = connected(edges, "elo-groups")
+    placed = table.join(groups.withColumnRenamed("node", "pool"), "pool", "left").withColumn("group", F.coalesce("group", "pool"))
+    return placed, [edges, groups]
+
+
 def _stretches(first: int, last: int, rows: int, task_rows: int) -> Iterator[tuple[int, int]]:
     """Places first..last cut into stretches that would hold half a task's matches each if they were spread evenly."""
     parts = min(last - first + 1, max(2, -(-2 * rows // task_rows)))
@@ -80,44 +101,42 @@ def elo_ratings(matches: DataFrame, competition: str | None = None, params: dict
     """
     fold = _fold(float(params["k_factor"]), float(params["home_advantage"]), float(params["initial_rating"]))
     extra = [F.coalesce(F.concat(F.lit("#"), F.col(competition).cast("string")), F.lit("#")).alias("pool")] if competition else []
-    narrow = matches.select(*_ORDER, _key("home_team").alias("home"), _key("away_team").alias("away"), F.when(F.col("ftr").isNotNull(), S.actual_home_score("ftr")).alias("actual"), *extra)
-    rows = stage(dense_index(narrow, _ORDER, "i").select("i", "match_id", "home", "away", "actual", *(["pool"] if competition else [])), "elo-matches")
-    spark = matches.sparkSession
-    state = spark.createDataFrame([], "team string, elo double") if initial is None else initial.select(_key("team").alias("team"), "elo")
-    total = rows.agg(F.max("i")).first()[0] or 0
+    actual = F.when(F.col("ftr").isNotNull(), S.actual_home_score("ftr")).alias("actual")
+    rows = matches.select(*_ORDER, _key("home_team").alias("home"), _key("away_team").alias("away"), actual, *extra)
+    if not hasattr(matches, "staged_path"):
+        rows = stage(rows, "elo-matches")
+    state = None if initial is None else initial.select(_key("team").alias("team"), "elo")
     done: DataFrame | None = None
-    # Tables of matches still to be rated, earliest last, each with the places it covers.
-    waiting = [(rows, 1, total, bool(competition))] if total else []
+    # Matches still to be rated, earliest last, with the places they cover once they are numbered.
+    waiting: list[tuple[DataFrame, tuple[int, int] | None]] = [(rows, None)]
     while waiting:
-        table, first, last, pooled = waiting.pop()
-        if pooled:
-            ends = F.array(F.struct(F.col("home").alias("a"), F.col("pool").alias("b")), F.struct(F.col("away").alias("a"), F.col("pool").alias("b")))
-            edges = table.select(F.explode(ends).alias("e")).select("e.*").distinct()
-        else:
-            edges = table.select(F.col("home").alias("a"), F.col("away").alias("b")).distinct()
-        groups = connected(edges, "elo-groups")
-        placed = stage(table.join(groups.withColumnRenamed("node", "home"), "home"), "elo-placed")
-        sizes = placed.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > task_rows)
-        sizes = stage(sizes, "elo-large")
+        table, span = waiting.pop()
+        placed, used = (_by_pools if competition and span is None else _by_opponents)(table)
+        sizes = stage(placed.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > task_rows), "elo-large")
         large = sizes.agg(F.sum("n")).first()[0]
         small = placed if large is None else placed.join(sizes, "group", "left_anti")
-        members = groups.withColumnRenamed("node", "team").join(state, "team")
-        if large is not None:
-            members = members.join(sizes, "group", "left_anti")
-        found = small.select("group", "i", "match_id", "home", "away", "actual").groupBy("group").cogroup(members.groupBy("group")).applyInArrow(fold, _OUT)
+        small = small.select("group", *_ORDER, "home", "away", "actual")
+        if state is None:
+            found = small.groupBy("group").applyInArrow(lambda matches: fold(matches), _OUT)
+        else:
+            teams = small.select(F.col("group").alias("of"), F.explode(F.array("home", "away")).alias("team")).distinct()
+            begun = teams.join(state, "team").select("of", "team", "elo")
+            found = small.groupBy("group").cogroup(begun.groupBy("of")).applyInArrow(fold, _OUT)
         found = stage(found, "elo-ratings")
         rated = found.where("team is null").select("match_id", "elo_home", "elo_away")
         done = rated if done is None else done.unionByName(rated)
         if large is not None or waiting:
             latest = found.where("team is not null").select("team", "elo")
-            state = stage(latest.unionByName(state.join(latest.select("team"), "team", "left_anti")), "elo-state")
+            before = None if state is None else state.join(latest.select("team"), "team", "left_anti")
+            state = stage(latest if before is None else latest.unionByName(before), "elo-state")
         if large is not None:
-            rest = stage(placed.join(sizes.select("group"), "group").drop("group"), "elo-rest")
-            for a, b in reversed(list(_stretches(first, last, large, task_rows))):
-                waiting.append((rest.where(F.col("i").between(a, b)), a, b, False))
-        dropped(groups, placed, sizes)
-    if done is None:
-        return narrow.select("match_id", F.lit(None).cast("double").alias("elo_home"), F.lit(None).cast("double").alias("elo_away"))
+            rest = placed.join(sizes.select("group"), "group").drop("group")
+            if span is None:
+                rest, span = dense_index(rest, _ORDER, "i"), (1, large)
+            rest = stage(rest, "elo-rest")
+            for a, b in reversed(list(_stretches(*span, large, task_rows))):
+                waiting.append((rest.where(F.col("i").between(a, b)), (a, b)))
+        dropped(sizes, *used)
     return done
 
 
