@@ -259,3 +259,22 @@ def near_vectors(table: DataFrame, group: str = "label", vector: str = "embeddin
 def op12_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links within labels at a cosine of 0.98 or more, and components, over all embeddings."""
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+#: Links by comparing all vectors of a label, components by following links until nothing new is reached.
+OP12_SQL = """
+with recursive able as materialized (
+  select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as v from embeddings
+  where label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+unit as materialized (select vec_id, label, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) as u from able),
+links as materialized (
+  select a.vec_id as a, b.vec_id as b from unit a join unit b
+    on a.label = b.label and a.vec_id <> b.vec_id and len(a.u) = len(b.u) and list_dot_product(a.u, b.u) >= 0.98e0),
+reach(a, b) as (select a, b from links union select reach.a, links.b from reach join links on links.a = reach.b),
+least as (select a as vec_id, min(b) as low from reach group by a),
+degree as (select a as vec_id, count(*) as n from links group by a)
+select e.vec_id, cast(coalesce(n, 0) as bigint) as n_links, least(e.vec_id, coalesce(low, e.vec_id)) as component_id,
+  e.vec_id = least(e.vec_id, coalesce(low, e.vec_id)) as kept
+from embeddings e left join degree using (vec_id) left join least using (vec_id)
+"""

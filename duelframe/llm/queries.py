@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from duelframe.llm.ann import op5_nearest_neighbours
 from duelframe.llm.bpe import op1_byte_bpe
 from duelframe.llm.decontam import op7_benchmark_decontamination
-from duelframe.llm.grid_join import op12_embedding_near_duplicates
+from duelframe.llm.grid_join import OP12_SQL, op12_embedding_near_duplicates
 from duelframe.llm.html_text import op3_html_extraction
 from duelframe.llm.lines import op4_line_dedup
 from duelframe.llm.minhash import op6_minhash_near_duplicates
@@ -36,4 +36,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_periodic_runs": op13_periodic_runs,
 }
 
-ORACLES: dict[str, str] = {"op9_warc_fixity_audit": OP9_SQL}
+ORACLES: dict[str, str] = {"op9_warc_fixity_audit": OP9_SQL, "op12_embedding_near_duplicates": OP12_SQL}

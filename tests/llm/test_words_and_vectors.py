@@ -244,3 +244,24 @@ def test_op12_on_the_given_table(spark, sf_dir):
     rows = [(r.vec_id, None if r.embedding is None else list(r.embedding), r.label) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in grid_join.op12_embedding_near_duplicates(spark, sf_dir).collect()), key=str)
     assert got == _plain_links(rows)
+
+
+def test_op12_sql_on_vectors_with_links(tmp_path):
+    import duckdb
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(6)
+    centres, rows = rng.normal(size=(12, 8)), []
+    for i in range(160):
+        v = centres[rng.integers(12)] + rng.normal(size=8) * rng.choice([0, 0.05, 0.12, 0.3])
+        rows.append((i, np.float32(v).tolist(), int(rng.integers(3))))
+    rows += [(i, rows[5][1], rows[5][2]) for i in range(160, 200)]
+    rows += [(200, None, 1), (201, [0.0] * 8, 1), (202, [1.0, None], 1), (203, [float("nan")] * 8, 1), (204, [1.0, 0.0], 1), (205, [2.0, 0.0], 1), (206, [1.0, 0.0], None)]
+    ids, vectors, labels = zip(*rows)
+    table = pa.table({"vec_id": pa.array(ids, pa.int64()), "embedding": pa.array(vectors, pa.list_(pa.float32())), "label": pa.array(labels, pa.int32())})
+    pq.write_table(table, tmp_path / "e.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from read_parquet('{tmp_path}/e.parquet')")
+    got = sorted(con.execute(grid_join.OP12_SQL).fetchall(), key=str)
+    assert got == _plain_links(rows) and sum(r[1] for r in got) > 500
