@@ -56,7 +56,7 @@ elo(i, team, r) as (
   select i + 1, team,
          case when match_id is null then r
               when sgn = 1 then r + 20 * (actual - expected)
-              else r + 20 * ((1 - actual) - (1 - expected)) end
+              else r - 20 * (actual - expected) end
   from (select e.i, e.team, e.r, p.match_id, p.sgn, p.actual,
                1 / (1 + pow(10.0e0, (max(case when sgn = -1 then e.r end) over (partition by p.match_id)
                                   - (max(case when sgn = 1 then e.r end) over (partition by p.match_id) + 60)) / 400)) as expected

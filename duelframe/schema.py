@@ -72,6 +72,7 @@ FEATURES = (
     "implied_edge_home_minus_away",
 )
 
+# The columns that go along with the features.
 FEATURE_KEYS = (
     "match_id",
     "season",
@@ -83,6 +84,7 @@ FEATURE_KEYS = (
     "away_goals",
 )
 
+# The layout of the match table.
 MATCHES = T.StructType(
     [
         T.StructField("match_id", T.LongType()),
@@ -100,7 +102,7 @@ MATCHES = T.StructType(
     ]
 )
 
-# Declared layout of the flat statistics file (no inference pass).
+# The layout of the flat statistics file (declared, no inference pass).
 STATS_CSV = T.StructType(
     [
         T.StructField("season", T.IntegerType()),

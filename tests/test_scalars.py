@@ -36,6 +36,35 @@ def test_parse_date(spark, text, want):
     assert one(spark, d=S.parse_date(F.lit(text).cast("string"))).d == want
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("Aug 5 2020", "2020-08-05"),
+        ("20200805", "2020-08-05"),
+        ("05/08/2020 15:30", "2020-08-05"),
+        ("2020-08-05T10:00:00.5Z", "2020-08-05"),
+        ("5th August, 2020", "2020-08-05"),
+        ("Wed, 05 Aug 2020 10:00:00 +0000", "2020-08-05"),
+        ("1 Sept. 2020 3 pm", "2020-09-01"),
+        ("05AUG69", "1969-08-05"),
+        ("Aug 2020", "2020-08-01"),
+        ("2020-13-05", "2020-05-13"),
+        ("5 Aug", None),
+        ("31/02/2020", None),
+        ("99999999", None),
+        ("1/2/3/4", None),
+        ("May 5 June 2020", None),
+        ("5 Foo 2020", None),
+        ("2020", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_free_text_dates(spark, text, want):
+    got = one(spark, d=S.parse_date(F.lit(text).cast("string"))).d
+    assert (got and str(got)) == want
+
+
 def test_kickoff(spark):
     day = F.to_date(F.lit("2020-08-25"))
     row = one(

@@ -53,6 +53,24 @@ def test_read_extended(spark, season_dir):
     assert rows[3].source_match_id == "2021-22:2021-08-01:A:B" and rows[3].status == "completed"
 
 
+def test_one_scan_a_header(spark, tmp_path):
+    """Many files, two headers, one of them behind a byte-order mark; an empty file; the number of jobs does not grow."""
+    heads = ("Date,HomeTeam,AwayTeam,FTHG,FTAG", "\ufeffHomeTeam,Date,AwayTeam,FTAG,FTHG,,HomeTeam")
+    lines = ("01/08/{y},A{k},B,2,0", "A{k},01/08/{y},B,0,2,x,y")
+    for k in range(24):
+        y = 1980 + k
+        (tmp_path / f"{y}-{(y + 1) % 100:02d}.csv").write_text(heads[k % 2] + "\n" + lines[k % 2].format(y=y, k=k) + "\n")
+    (tmp_path / "2010-11.csv").write_text("")
+    assert readers.header_columns(heads[1]) == ("HomeTeam0", "Date", "AwayTeam", "FTAG", "FTHG", "_c5", "HomeTeam6")
+    sc = spark.sparkContext
+    sc.setJobGroup("seasons", "seasons")
+    frames = readers.read_seasons(spark, f"{tmp_path}/*.csv")
+    jobs = len(sc.statusTracker().getJobIdsForGroup("seasons"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(frames) == 2 and jobs <= 6
+    assert sorted(r._season for f in frames for r in f.collect()) == [f"{y}-{(y + 1) % 100:02d}" for y in range(1980, 2004)]
+
+
 def test_reader_errors(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         readers.list_files(spark, f"{tmp_path}/*.csv")
