@@ -9,7 +9,7 @@ from duelframe.catalog.ordering import CANDIDATES_SQL, F1_SQL, ROW_LOSS_SQL, can
 from duelframe.catalog.scalars import IMPLIED_SQL, PREDICTED_SQL, raw_sql, typed_rows, with_probabilities
 from duelframe.catalog.scalars import TYPED_SQL
 from duelframe.catalog.testbed import encounters, stored, with_enc
-from duelframe.operators import metrics, models, splits
+from duelframe.operators import clean, metrics, models, splits
 
 # Season lists used by every split of the derived encounters.
 SEASONS = {
@@ -134,15 +134,7 @@ def accuracy_and_f1(spark, sf):
     ),
 )
 def invalid_counts(spark, sf):
-    # One pass: the validity rule as a counter instead of a second action.
-    typed = typed_rows(spark, sf)
-    needed = ["match_date", "home_team", "away_team", "home_goals", "away_goals"]
-    valid = F.col("home_team") != F.col("away_team")
-    for c in needed:
-        valid = valid & F.col(c).isNotNull()
-    return typed.agg(
-        F.count("*").alias("n_rows"), F.count_if(valid).alias("n_valid"), (F.count("*") - F.count_if(valid)).alias("n_invalid")
-    )
+    return clean.invalid_row_counts(typed_rows(spark, sf))
 
 
 @query(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from duelframe.catalog.base import query
 from duelframe.catalog.scalars import IMPLIED_SQL, PREDICTED_SQL, with_probabilities
 from duelframe.catalog.testbed import encounters, with_enc
-from duelframe.operators import clean, metrics, registry
+from duelframe.operators import clean, metrics, registry, splits
 from duelframe.session import stage
 
 _COPIES_SQL = """cop as (
@@ -187,14 +187,4 @@ def seasons(spark, sf):
     ),
 )
 def date_bounds(spark, sf):
-    # One row per calendar date after the aggregate, so the window below stays that small.
-    from pyspark.sql import Window
-
-    every = Window.partitionBy(F.lit(1))
-    daily = encounters(spark, sf).groupBy("match_date").agg(F.count("*").alias("n_matches"))
-    return daily.select(
-        "match_date",
-        "n_matches",
-        (F.col("match_date") == F.min("match_date").over(every)).alias("is_first"),
-        (F.col("match_date") == F.max("match_date").over(every)).alias("is_last"),
-    ).orderBy("match_date")
+    return splits.dates_and_bounds(encounters(spark, sf))

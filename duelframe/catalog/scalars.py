@@ -262,7 +262,7 @@ def shot_accuracy(spark, sf):
     with_enc("select match_id, coalesce(odds_home, 1.0) as odds_home, odds_draw from enc"),
 )
 def fill_nulls(spark, sf):
-    return encounters(spark, sf).select("match_id", "odds_home", "odds_draw").fillna({"odds_home": 1.0}).fillna(0)
+    return clean.fill_missing(encounters(spark, sf).select("match_id", "odds_home", "odds_draw"), {"odds_home": 1.0})
 
 
 @query(

@@ -50,10 +50,34 @@ def present_or_null(df: DataFrame, name: str, kind: str = "string") -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(kind)
 
 
+def is_valid(scores: bool = True) -> Column:
+    """True for a row with a date, two different sides and (for played matches) a score; never NULL."""
+    out = F.coalesce(F.col("home_team") != F.col("away_team"), F.lit(False))
+    for c in ["match_date"] + (["home_goals", "away_goals"] if scores else []):
+        out = out & F.col(c).isNotNull()
+    return out
+
+
 def valid_rows(df: DataFrame, scores: bool = True) -> DataFrame:
     """Drop rows without a date, a side or (for played matches) a score, and matches of an entity with itself."""
-    needed = ["match_date", "home_team", "away_team"] + (["home_goals", "away_goals"] if scores else [])
-    return df.dropna(subset=needed).filter(F.col("home_team") != F.col("away_team"))
+    return df.filter(is_valid(scores))
+
+
+def invalid_row_counts(df: DataFrame, scores: bool = True) -> DataFrame:
+    """One row: all rows, those ``valid_rows`` keeps and those it drops, in one pass instead of a count before and after."""
+    valid = F.count_if(is_valid(scores))
+    return df.agg(F.count("*").alias("n_rows"), valid.alias("n_valid"), (F.count("*") - valid).alias("n_invalid"))
+
+
+def fill_missing(df: DataFrame, constants: Mapping[str, float], rest: float | None = 0) -> DataFrame:
+    """Named columns filled with their constants, then every other numeric column with ``rest`` (None: left as they are).
+
+    Text, dates and other kinds keep their NULLs; NaN counts as missing. A constant for a column that is not there is an
+    error.
+    """
+    require_columns(df, list(constants), "table to fill")
+    out = df.fillna(dict(constants)) if constants else df
+    return out if rest is None else out.fillna(rest)
 
 
 def clean_season(raw: DataFrame, season: Column, aliases: Mapping[str, str] = ALIASES) -> DataFrame:

@@ -53,6 +53,18 @@ def fraction_split(df: DataFrame, day: str, train: float = 0.5, validation: floa
     return df.join(named, df[day].eqNullSafe(named["_day"]), "left").drop("_day")
 
 
+def dates_and_bounds(df: DataFrame, day: str = "match_date", count: str = "n_matches") -> DataFrame:
+    """Every date in order with its rows, and whether it is the first or the last one: what cuts are made at.
+
+    Rows are counted per date before the shuffle, so the window behind sees one row per calendar date. Rows without a
+    date are a row of their own, with NULL for both.
+    """
+    daily = df.groupBy(day).agg(F.count("*").alias(count))
+    every = Window.partitionBy(F.lit(1))
+    is_first, is_last = F.col(day) == F.min(day).over(every), F.col(day) == F.max(day).over(every)
+    return daily.select(day, count, is_first.alias("is_first"), is_last.alias("is_last")).orderBy(day)
+
+
 def folds(seasons: DataFrame, season: str = "season") -> DataFrame:
     """One row per fold: train on all seasons up to ``train_up_to``, test on the next one."""
     distinct = seasons.select(season).distinct()

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duelframe.functions import scalars as S
-from duelframe.operators import form, models, splits
+from duelframe.operators import clean, form, models, splits
 from duelframe.session import stage
 from duelframe.sources import writers
 
@@ -41,7 +41,7 @@ def calendar_features(stats: DataFrame, years: int = 5) -> DataFrame:
 
 def _fitted(data: DataFrame, columns: Sequence[str], classes: Column, actual: Column, tuned: bool) -> tuple[DataFrame, DataFrame]:
     """Scored validation and test rows of both classifiers, and their metric rows. Missing counts are zero."""
-    data = stage(data.fillna(0, subset=list(columns)), "flat-rows")
+    data = stage(clean.fill_missing(data, dict.fromkeys(columns, 0), None), "flat-rows")
     checked = None
     for kind in KINDS:
         model = models.fit_flat(data.filter("split = 'train'"), columns, kind, centred=tuned, tuned=tuned)

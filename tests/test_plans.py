@@ -44,3 +44,18 @@ def test_weighted_scores(spark):
         there, said, right = (sum(f(a, p) for _, a, p in rows) for f in (lambda a, p: a == c, lambda a, p: p == c, lambda a, p: a == p == c))
         f1 += there / 60 * (2 * right / (there + said) if there + said else 0)
     assert (got.n_rows, got.accuracy, got.f1) == (60, pytest.approx(sum(a == p for _, a, p in rows) / 60), pytest.approx(f1))
+
+
+def test_counts_fills_and_bounds(spark):
+    from duelframe.operators import clean, splits
+
+    rows = [("2020-01-01", "A", "B", 1, 0), ("2020-01-01", "A", "A", 1, 0), (None, "A", "B", 1, 0), ("2020-02-01", None, "B", 1, 0), ("2020-02-01", "A", "B", None, 0)]
+    df = spark.createDataFrame(rows, "d string, home_team string, away_team string, home_goals int, away_goals int").withColumn("match_date", F.to_date("d"))
+    assert tuple(clean.invalid_row_counts(df).first()) == (5, 1, 4) and tuple(clean.invalid_row_counts(df, scores=False).first()) == (5, 2, 3)
+    assert tuple(clean.invalid_row_counts(df.limit(0)).first()) == (0, 0, 0)
+    assert [r.home_goals for r in clean.fill_missing(df, {"home_goals": 7}).collect()] == [1, 1, 1, 1, 7]
+    assert clean.fill_missing(df, {}).filter("d is null or home_team is null").count() == 2
+    with pytest.raises(ValueError):
+        clean.fill_missing(df, {"odds": 1.0})
+    got = [(str(r.match_date), r.n_matches, r.is_first, r.is_last) for r in splits.dates_and_bounds(df).collect()]
+    assert got == [("None", 1, None, None), ("2020-01-01", 2, True, False), ("2020-02-01", 2, False, True)]

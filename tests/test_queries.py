@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from check import compare, connect
 
 ORACLES = entry.oracle_sql()
-# Model fits are exercised on smaller inputs in test_models.py.
+# Fits are exercised in test_model_queries.py too.
 COMPARED = sorted(ORACLES)
 
 
