@@ -121,13 +121,13 @@ def _lines_plain(docs):
         if f:
             forms.setdefault(f, (d, n))
     names = list(forms)
-    hashes = lines.simhashes(pa.array(names, pa.string())) if names else []
-    keys = lines.block_keys(np.asarray(hashes, np.uint64)) if names else []
+    hashes = lines.minhashes(pa.array(names, pa.string()), lines.KEYED + lines.FURTHER)
+    first, more = hashes[:, : lines.KEYED], hashes[:, lines.KEYED :]
     links = []
     for i, a in enumerate(names):
         for j in range(i):
             b = names[j]
-            if min(len(a), len(b)) < lines.FUZZY_CHARS or not (keys[i] == keys[j]).any() or bin(int(hashes[i]) ^ int(hashes[j])).count("1") > lines.FAR:
+            if (first[i] == first[j]).sum() < 2 or not (more[i] == more[j]).any():
                 continue
             if min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and plain.edit_distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9:
                 links.append((forms[a], forms[b]))
@@ -174,7 +174,7 @@ def test_lines_alike_by_edit_similarity_alone(spark, low, high, one, some):
         if len(line) >= low:
             bases.append(line)
     for share, least in ((0, one), (0.1, some)):
-        pairs = [(a, b) for a in bases for b in [_retyped(rng, a, share)] if a != b and min(len(a), len(b)) >= lines.FUZZY_CHARS and plain.edit_distance(a, b) <= 0.2 * max(len(a), len(b))]
+        pairs = [(a, b) for a in bases for b in [_retyped(rng, a, share)] if a != b and plain.edit_distance(a, b) <= 0.2 * max(len(a), len(b))]
         assert len(pairs) > 80
         df = spark.createDataFrame([(2 * i + k, t) for i, p in enumerate(pairs) for k, t in enumerate(p)], "doc_id long, text string")
         assert sum(r.n_removed for r in lines.deduplicated(df).collect()) >= least * len(pairs)
