@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -41,13 +42,17 @@ _TAG = {t: i for i, t in enumerate(TAGS)} | {f"h{k}": TAGS.index("h") for k in r
 
 @dataclass(slots=True)
 class Node:
-    """A block element; ``text`` holds its own pieces and the numbers of its child nodes in page order."""
+    """A block element; ``text`` holds its own pieces and the numbers of its child nodes in page order.
+
+    ``number`` counts the children of ``parent`` that come before it.
+    """
 
     parent: int
     tag: str
     hints: int
     depth: int
     place: int
+    number: int = 0
     text: list = field(default_factory=list)
     children: list = field(default_factory=list)
     chars: int = 0
@@ -127,7 +132,7 @@ def read(page: str) -> list[Node]:
         if closed and tag not in _TAG:
             continue
         up = open_[-1][1]
-        nodes.append(Node(up, tag, _hints(m.group(4) or ""), nodes[up].depth + 1, m.start()))
+        nodes.append(Node(up, tag, _hints(m.group(4) or ""), nodes[up].depth + 1, m.start(), len(nodes[up].children)))
         nodes[up].text.append(len(nodes) - 1)
         nodes[up].children.append(len(nodes) - 1)
         open_.append((tag, len(nodes) - 1))
@@ -151,13 +156,13 @@ def features(nodes: list[Node], length: int) -> list[list[float]]:
         linked[p] += linked[i]
         stops[p] += stops[i]
         size[p] += size[i]
+    alike = [Counter(nodes[k].tag for k in x.children) for x in nodes]
     total, rows = max(chars[0], 1), []
     for i, x in enumerate(nodes):
         c = chars[i]
-        kin = nodes[x.parent].children if i else [0]
-        alike = sum(nodes[k].tag == x.tag for k in kin) / len(kin)
+        kin = len(nodes[x.parent].children) if i else 1
         row = [float(c.bit_length()), c / total, linked[i] / c if c else 0.0, 100 * stops[i] / c if c else 0.0, c / size[i], float(size[i].bit_length())]
-        row += [float(x.depth), x.place / max(length, 1), float(len(kin)), kin.index(i) / len(kin) if len(kin) < 64 else 0.5, alike, x.chars / c if c else 0.0]
+        row += [float(x.depth), x.place / max(length, 1), float(kin), x.number / kin, alike[x.parent][x.tag] / kin if i else 1.0, x.chars / c if c else 0.0]
         row += [float(x.hints >> k & 1) for k in range(len(HINTS))] + [float(above[i] >> k & 1) for k in range(len(HINTS))]
         tag = [0.0] * len(TAGS)
         if x.tag in _TAG:

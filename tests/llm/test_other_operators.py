@@ -72,6 +72,19 @@ def test_no_element_swallows_the_page(page, want):
     assert dom.blocks(nodes, [True] * len(nodes)) == want
 
 
+def test_place_among_any_number_of_siblings():
+    """Each of 100,000 siblings has its own place, and the share of its tag among them."""
+    many = 100_000
+    page = "<div><h1>Head</h1>" + "<p>Words.</p>" * (many - 1) + "</div>"
+    nodes = dom.read(page)
+    rows = np.array(dom.features(nodes, len(page)))
+    at = {name: k for k, name in enumerate(dom.NAMES)}
+    assert len(rows) == many + 2
+    assert np.array_equal(rows[2:, at["before"]], np.arange(many) / many)
+    assert (rows[2:, at["siblings"]] == many).all()
+    assert rows[2, at["alike"]] == 1 / many and (rows[3:, at["alike"]] == (many - 1) / many).all()
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News &amp; more</a></li></ul></nav>
 <div class="ad">Buy now. Cheap things for all.</div>
