@@ -17,8 +17,9 @@ AGREEING = 0.8
 SPAN = 5
 #: Masks that items of 5 and 6 tokens need besides, for one token replaced inside.
 INSIDE = {5: ("10111", "11011", "11101"), 6: ("110111",)}
-#: Seed rows of the benchmark up to which they are broadcast; beyond, the same join is left to the planner.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of the benchmark's seed rows, each with its whole item, up to which they are broadcast; beyond, the same join is
+#: left to the planner.
+BROADCAST_BYTES = 64 << 20
 
 _SHARE = Fraction(str(AGREEING))
 
@@ -70,23 +71,24 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     stretch of which at least ``AGREEING`` of the tokens are the same; it is reported if the same ones number
     ``LEAST_TOKENS``, or ``AGREEING`` of all that the item has if that is less. The seeds miss none of these. ``doc_start`` counts the document's tokens from 0. Null and empty texts have no tokens; an
     item without tokens is never found; an item that stands twice is reported under each id. Rows that share a
-    ``doc_id`` are reported once. The benchmark is small beside the documents: its seeds are broadcast up to
-    ``BROADCAST_ROWS``, which is counted first.
+    ``doc_id`` are looked at one by one and the best overlap among them is reported. The benchmark is small beside the
+    documents: its seeds are broadcast up to ``BROADCAST_BYTES``, which a bound from the items' lengths is held against.
     """
     items = benchmark.select(F.col("item_id"), tokens(F.col("text").cast("string")).alias("words")).where("size(words) > 0")
     lengths = [r[0] for r in items.where(F.size("words") <= LEAST_TOKENS / AGREEING).select(F.size("words").alias("n")).distinct().orderBy("n").collect()]  # at most 16
     masks = [MASKS[0], *(MASKS[1:] if any(n > SPAN for n in lengths) else ()), *(m for n in lengths for m in INSIDE.get(n, ())), *("1" * n for n in lengths if n < len(MASKS[0]))]
     seeds = _seeded(items, masks, "item_id").select("item_id", "seed", F.col("p").alias("q"), F.col("words").alias("item"))
-    if seeds.count() <= BROADCAST_ROWS:
+    row = F.expr("aggregate(words, 64L, (bytes, x) -> bytes + octet_length(x) + 16)")
+    if (items.agg(F.sum(row * F.size("words")).alias("n")).first()["n"] or 0) * len(masks) <= BROADCAST_BYTES:
         seeds = F.broadcast(seeds)
     words = documents.select(F.col("doc_id"), tokens(F.col("text").cast("string")).alias("words"))
     hits = _seeded(words, masks, "doc_id").join(seeds, "seed").where("p = 0 or q = 0 or not (words[p - 1] <=> item[q - 1])")  # once for a run
     # side by side from the first token that both have at this offset
     hits = hits.withColumn("doc_start", F.greatest(F.col("p") - F.col("q"), F.lit(0))).withColumn("item_start", F.greatest(F.col("q") - F.col("p"), F.lit(0)))
-    hits = hits.select("doc_id", "item_id", "doc_start", "item_start", F.size("item").alias("n_item"), F.expr("zip_with(slice(words, doc_start + 1, size(item) - item_start), slice(item, item_start + 1, size(item)), (x, y) -> x <=> y)").alias("same"))
+    hits = hits.select("doc_id", F.xxhash64("words").alias("version"), "item_id", "doc_start", "item_start", F.size("item").alias("n_item"), F.expr("zip_with(slice(words, doc_start + 1, size(item) - item_start), slice(item, item_start + 1, size(item)), (x, y) -> x <=> y)").alias("same"))
     # A passage is hit at each of its tokens: one row for an offset goes on. Being an aggregate, ``same`` keeps the fold
     # below out of the join's condition, where it would end the code generation that spares copies of ``words``.
-    hits = hits.groupBy("doc_id", "item_id", "doc_start", "item_start", "n_item").agg(F.max("same").alias("same"))
+    hits = hits.groupBy("doc_id", "version", "item_id", "doc_start", "item_start", "n_item").agg(F.max("same").alias("same"))
     need = F.least(F.lit(LEAST_TOKENS), F.expr(f"cast(ceil({_SHARE.numerator} * n_item / {_SHARE.denominator}) as int)"))
     hits = hits.where(F.size(F.filter("same", lambda x: x)) >= need)
     found = hits.select("doc_id", "item_id", "doc_start", "n_item", _stretch("same").alias("s"))

@@ -223,6 +223,17 @@ def _overlaps_plain(docs, items):
     return out
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 30])
+def test_leaks_of_rows_with_one_id(spark, monkeypatch, limit):
+    """Texts under one id are laid beside an item one by one; the best overlap counts, broadcast or not."""
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", limit)
+    words = [f"w{k}" for k in range(40)]
+    texts = [(1, " ".join([*words[:29], *(f"y{k}" for k in range(11))])), (1, " ".join([*(f"z{k}" for k in range(27)), *words[27:]])), (2, None), (2, " ".join(words[:12])), (2, " ".join(["a", *words[5:30]]))]
+    bench = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    found = decontam.leaks(spark.createDataFrame(texts, "doc_id long, text string"), bench)
+    assert sorted((r.doc_id, r.item_id, r.n_tokens, r.n_agreeing, r.doc_start) for r in found.collect()) == [(1, 7, 29, 29, 0), (2, 7, 25, 25, 1)]
+
+
 def test_leaks_against_all_stretches(spark):
     rng = random.Random(12)
     items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in [*range(1, 19), 20, 24, 27]]
