@@ -11,14 +11,15 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duelframe.llm.text import blocks
+from duelframe.llm.text import blocks, run_hashes, stored_by, utf8
 
 #: Buckets of the literal rank map; a bucket holds about one entry, so a look-up reads one or two keys.
 BUCKETS = 1 << 16
-#: Words of the documents whose distinct words are encoded together.
+#: Words of the documents whose distinct words are listed together.
 CHUNK_WORDS = 1 << 21
 #: Rank of a pair that is no token.
 NONE = (1 << 31) - 1
@@ -88,47 +89,178 @@ def encoded(words: str, ranks: dict[bytes, int]) -> Column:
     return F.transform(F.transform(words, lambda w: F.decode(F.encode(w, "UTF-8"), "ISO-8859-1")), one)
 
 
-_CHUNK = "doc_ids array<bigint>, sizes array<int>, places binary, words array<string>"
+_CHUNK = "chunk long, doc_ids array<bigint>, sizes array<int>, places binary, lengths binary, letters binary"
+_PIECE = "bucket long, chunk long, lengths binary, letters binary"
+_BUCKET = "bucket long, chunks array<bigint>, sizes array<int>, places binary, words array<string>"
+_ENCODED = "bucket long, chunk long, size int, counts binary, ids binary"
 _RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+#: Buckets of words for each chunk of documents; a bucket then holds about a quarter of the words of a chunk.
+SPREAD = 4
 
 
-def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _column(values, kind: pa.DataType) -> pa.Array:
+    return pa.array(values, kind)
+
+
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Whole numbers of 32 bits, compressed byte place by byte place."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return pa.Codec("zstd").compress(planes.tobytes(), asbytes=True) if len(numbers) else b""
+
+
+def _restored(data: bytes, count: int) -> np.ndarray:
+    """The ``count`` numbers that ``_squeezed`` was given."""
+    if not count:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data, 4 * count, asbytes=True), np.uint8).reshape(4, count)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
+
+
+def _words(lengths: bytes, letters: bytes) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum(np.frombuffer(lengths, np.int32)))).astype(np.int32)
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(letters))
+
+
+def _bucket_order(lengths: bytes, letters: bytes, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of each word by its hash, and the words ordered by bucket."""
+    ends = np.cumsum(np.frombuffer(lengths, np.int32).astype(np.int64))
+    starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
+    data = np.frombuffer(letters, np.uint8)
+    bucket = np.zeros(len(ends), np.int64)
+    for i, j in blocks(np.concatenate(([0], ends))):
+        low = starts[i]
+        bucket[i:j] = (run_hashes(data[low : ends[j - 1]], starts[i:j] - low, ends[i:j] - low) % np.uint64(count)).astype(np.int64)
+    return bucket, np.argsort(bucket, kind="stable")
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row a chunk of documents: the distinct words, and for each document the places of its words among them.
 
     A chunk has ``CHUNK_WORDS`` words at most, or one document.
     """
     wrap = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+    chunk = TaskContext.get().partitionId() << 32
     for batch in batches:
         ends = np.concatenate(([0], np.cumsum(pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False))))
         for i, j in blocks(ends, CHUNK_WORDS):
             part = batch.slice(i, j - i)
             coded = part.column(1).flatten().dictionary_encode()
-            places = pa.array([coded.indices.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()], pa.binary())
-            sizes = pa.array(np.diff(ends[i : j + 1]), pa.int32())
-            yield pa.RecordBatch.from_arrays([wrap(part.column(0)), wrap(sizes), places, wrap(coded.dictionary)], names=["doc_ids", "sizes", "places", "words"])
+            data, offsets = utf8(coded.dictionary)
+            columns = [
+                _column([chunk], pa.int64()),
+                wrap(part.column(0)),
+                wrap(_column(np.diff(ends[i : j + 1]), pa.int32())),
+                _column([_squeezed(coded.indices.to_numpy(zero_copy_only=False))], pa.binary()),
+                _column([np.diff(offsets).astype(np.int32).tobytes()], pa.binary()),
+                _column([data.tobytes()], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["chunk", "doc_ids", "sizes", "places", "lengths", "letters"])
+            chunk += 1
+            del part, coded, data, columns
             pa.default_memory_pool().release_unused()  # a worker is kept for later tasks
 
 
-def _written(vocabulary: list[bytes]):
-    """From chunks with the ids of their distinct words to rows of documents."""
+def _pieces(count: int):
+    """From the words of chunks to one row a chunk and bucket that has some of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                chunk, lengths, letters = (batch.column(c)[r].as_py() for c in range(3))
+                bucket, order = _bucket_order(lengths, letters, count)
+                words = _words(lengths, letters).take(pa.array(order))
+                data, offsets = utf8(words)
+                sizes, data = np.diff(offsets).astype(np.int32), data.tobytes()
+                named, first = np.unique(bucket[order], return_index=True)
+                edges = np.append(first, len(order))
+                cut = lambda k: (sizes[edges[k] : edges[k + 1]].tobytes(), data[offsets[edges[k]] : offsets[edges[k + 1]]])
+                parts = [cut(k) for k in range(len(named))]
+                columns = [_column(named, pa.int64()), _column([chunk] * len(named), pa.int64()), *[_column([x[c] for x in parts], pa.binary()) for c in (0, 1)]]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "chunk", "lengths", "letters"])
+
+    return run
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From pieces ordered by bucket to one row a bucket: its distinct words, and the places of each chunk's words."""
+    wrap = lambda values, kind: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), _column(values, kind))
+
+    def row(bucket: int, pieces: list[tuple[int, pa.Array]]) -> pa.RecordBatch:
+        coded = pa.concat_arrays([x for _, x in pieces]).dictionary_encode()
+        columns = [
+            _column([bucket], pa.int64()),
+            wrap([c for c, _ in pieces], pa.int64()),
+            wrap([len(x) for _, x in pieces], pa.int32()),
+            _column([coded.indices.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()], pa.binary()),
+            pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["bucket", "chunks", "sizes", "places", "words"])
+
+    held, own = [], None
+    for batch in batches:
+        for bucket, chunk, lengths, letters in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and bucket != own:
+                yield row(own, held)
+                held = []
+            own = bucket
+            held.append((chunk, _words(lengths, letters)))
+    if held:
+        yield row(own, held)
+
+
+def _dealt_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From buckets whose words are encoded to the ids of each chunk's words, in the order of the chunk's piece."""
+    for batch in batches:
+        for r in range(batch.num_rows):
+            chunks, sizes = (batch.column(c)[r].values.to_numpy(zero_copy_only=False) for c in (1, 2))
+            places = np.frombuffer(batch.column(3)[r].as_py(), np.int32)
+            by_word = batch.column(4)[r].values
+            counts = pc.list_value_length(by_word).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = by_word.flatten().to_numpy(zero_copy_only=False)
+            starts, edges = np.cumsum(counts) - counts, np.concatenate(([0], np.cumsum(sizes)))
+            found = []
+            for a, b in zip(edges[:-1], edges[1:]):
+                n = counts[places[a:b]]
+                found.append((_squeezed(n), _squeezed(flat[_runs(starts[places[a:b]], n)])))
+            columns = [
+                _column([batch.column(0)[r].as_py()] * len(chunks), pa.int64()),
+                _column(chunks, pa.int64()),
+                _column(sizes, pa.int32()),
+                _column([x[0] for x in found], pa.binary()),
+                _column([x[1] for x in found], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "chunk", "size", "counts", "ids"])
+
+
+def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers ``start, start + 1, ...``, ``count`` of them for each start, one run after the other."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def _written(vocabulary: list[bytes], count: int):
+    """From chunks with the ids of their distinct words, listed by bucket, to rows of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pa.array(vocabulary, pa.large_binary())
         for batch in batches:
             for r in range(batch.num_rows):
                 doc_ids, sizes = batch.column(0)[r].values, batch.column(1)[r].values.to_numpy(zero_copy_only=False)
-                places = np.frombuffer(batch.column(2)[r].as_py(), np.int32)
-                by_word = batch.column(3)[r].values
-                counts = pc.list_value_length(by_word).to_numpy(zero_copy_only=False)
-                flat = by_word.flatten()
+                lengths, letters = batch.column(3)[r].as_py(), batch.column(4)[r].as_py()
+                _, order = _bucket_order(lengths, letters, count)
+                place = np.empty(len(order), np.int64)
+                place[order] = np.arange(len(order))
+                places = place[_restored(batch.column(2)[r].as_py(), int(sizes.sum()))]
+                listed = batch.column(5)[r].as_py() or []
+                counts = [_restored(x["counts"], x["size"]) for x in listed]
+                flat = np.concatenate([np.zeros(0, np.int64), *[_restored(x["ids"], int(n.sum())) for x, n in zip(listed, counts)]])
+                counts = np.concatenate([np.zeros(0, np.int64), *counts])
                 starts = np.concatenate(([0], np.cumsum(counts)))
-                names = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), flat.cast(pa.string())), " ")
-                flat, edges = flat.to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(sizes)))
+                names = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat).cast(pa.string())), " ")
+                edges = np.concatenate(([0], np.cumsum(sizes)))
                 out = []
                 for a, b in zip(edges[:-1], edges[1:]):
                     own = places[a:b]
-                    n = counts[own]
-                    ids = flat[np.repeat(starts[own] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())] if b > a else flat[:0]
+                    ids = flat[_runs(starts[own], counts[own])]
                     text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), names.take(pa.array(own))), " ")[0].as_py()
                     data = pieces.take(pa.array(ids)).buffers()[2]  # the pieces one after the other
                     out.append((len(ids), sha256(text.encode()).hexdigest(), sha256(data if data is not None else b"").hexdigest()))
@@ -142,17 +274,24 @@ def _written(vocabulary: list[bytes]):
 def encoded_documents(documents: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` for every row; a null text counts as empty, without tokens.
 
-    Nothing is shuffled: a task finds the distinct words of each batch of its documents, the fold encodes each of
-    them once, and the documents are put together from the words' ids. Memory follows the batch, which Spark
-    bounds by rows and bytes. ``pattern`` splits texts before the merges; its ``\\s`` means Unicode white space.
+    Documents are read once, into a table of chunks that holds each chunk's distinct words and the places of the
+    documents' words among them. Only the distinct words move: equal ones of all chunks meet in a bucket by their
+    hash, the fold encodes each once, and the ids go back to the chunks, whose table is bucketed so that it stays
+    where it is. A bucket holds a word at most once a chunk, and there are ``SPREAD`` times as many buckets as
+    chunks. ``pattern`` splits texts before the merges; its ``\\s`` means Unicode white space.
     """
     ranks = read_ranks(ranks_path)
     vocabulary = [b""] * (max(ranks.values()) + 1)
     for token, rank in ranks.items():
         vocabulary[rank] = token
     words = documents.select(F.col("doc_id").cast("long"), F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(f"(?U){pattern}"), F.lit(0)).alias("words"))
-    chunks = words.mapInArrow(_distinct_words, _CHUNK).withColumn("words", encoded("words", ranks))
-    return chunks.mapInArrow(_written(vocabulary), _RESULT)
+    chunks = stored_by(words.mapInArrow(_chunks, _CHUNK), "chunks", "chunk")
+    count = max(1, SPREAD * chunks.count())
+    pieces = chunks.select("chunk", "lengths", "letters").mapInArrow(_pieces(count), _PIECE)
+    buckets = pieces.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_buckets, _BUCKET)
+    ids = buckets.withColumn("words", encoded("words", ranks)).mapInArrow(_dealt_back, _ENCODED)
+    ids = ids.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "size", "counts", "ids"))).alias("listed"))
+    return chunks.join(ids, "chunk", "left").select("doc_ids", "sizes", "places", "lengths", "letters", "listed").mapInArrow(_written(vocabulary, count), _RESULT)
 
 
 def op1_byte_bpe(spark, sf_dir: str) -> DataFrame:

@@ -110,6 +110,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def stored_by(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Like ``stored``, as a table bucketed by ``key``, which joins by that key leave where it is."""
+    spark = df.sparkSession
+    path = stage_path(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    out.stored_path = path
+    return out
+
+
 def released(*tables: DataFrame) -> None:
     """Delete tables of ``stored`` that nothing reads any more."""
     for df in tables:
