@@ -20,7 +20,7 @@ from duelframe.llm.text import blocks, run_hashes, stored_by, utf8
 #: Buckets of the literal rank map; a bucket holds about one entry, so a look-up reads one or two keys.
 BUCKETS = 1 << 16
 #: Words of the documents whose distinct words are listed together.
-CHUNK_WORDS = 1 << 21
+CHUNK_WORDS = 3 << 19
 #: Rank of a pair that is no token.
 NONE = (1 << 31) - 1
 #: A slice length beyond any word's.
@@ -111,9 +111,9 @@ def _squeezed(numbers: np.ndarray) -> bytes:
 def _restored(data: bytes, count: int) -> np.ndarray:
     """The ``count`` numbers that ``_squeezed`` was given."""
     if not count:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int32)
     planes = np.frombuffer(pa.Codec("zstd").decompress(data, 4 * count, asbytes=True), np.uint8).reshape(4, count)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
+    return np.ascontiguousarray(planes.T).view("<i4").reshape(-1)
 
 
 def _words(lengths: bytes, letters: bytes) -> pa.Array:
@@ -177,6 +177,7 @@ def _pieces(count: int):
                 parts = [cut(k) for k in range(len(named))]
                 columns = [_column(named, pa.int64()), _column([chunk] * len(named), pa.int64()), *[_column([x[c] for x in parts], pa.binary()) for c in (0, 1)]]
                 yield pa.RecordBatch.from_arrays(columns, names=["bucket", "chunk", "lengths", "letters"])
+                pa.default_memory_pool().release_unused()
 
     return run
 
@@ -202,6 +203,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if held and bucket != own:
                 yield row(own, held)
                 held = []
+                pa.default_memory_pool().release_unused()
             own = bucket
             held.append((chunk, _words(lengths, letters)))
     if held:
@@ -230,6 +232,7 @@ def _dealt_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 _column([x[1] for x in found], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["bucket", "chunk", "size", "counts", "ids"])
+            pa.default_memory_pool().release_unused()
 
 
 def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -247,14 +250,14 @@ def _written(vocabulary: list[bytes], count: int):
                 doc_ids, sizes = batch.column(0)[r].values, batch.column(1)[r].values.to_numpy(zero_copy_only=False)
                 lengths, letters = batch.column(3)[r].as_py(), batch.column(4)[r].as_py()
                 _, order = _bucket_order(lengths, letters, count)
-                place = np.empty(len(order), np.int64)
+                place = np.empty(len(order), np.int32)
                 place[order] = np.arange(len(order))
                 places = place[_restored(batch.column(2)[r].as_py(), int(sizes.sum()))]
                 listed = batch.column(5)[r].as_py() or []
                 counts = [_restored(x["counts"], x["size"]) for x in listed]
-                flat = np.concatenate([np.zeros(0, np.int64), *[_restored(x["ids"], int(n.sum())) for x, n in zip(listed, counts)]])
-                counts = np.concatenate([np.zeros(0, np.int64), *counts])
-                starts = np.concatenate(([0], np.cumsum(counts)))
+                flat = np.concatenate([np.zeros(0, np.int32), *[_restored(x["ids"], int(n.sum())) for x, n in zip(listed, counts)]])
+                counts = np.concatenate([np.zeros(0, np.int32), *counts])
+                starts = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
                 names = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat).cast(pa.string())), " ")
                 edges = np.concatenate(([0], np.cumsum(sizes)))
                 out = []
