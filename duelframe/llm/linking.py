@@ -18,7 +18,11 @@ def shared_buckets(keyed: DataFrame) -> DataFrame:
     more buckets with each copy than two copies do. Ties go to the first in hash order.
     """
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(keyed.join(sizes, "key"), "buckets")
+    return with_hubs(stored(keyed.join(sizes, "key"), "buckets"))
+
+
+def with_hubs(members: DataFrame) -> DataFrame:
+    """``(key, id, hub)`` for the stored rows ``members(key, id, n)``, which are released; ``n`` only ranks the ids."""
     met = members.groupBy("id").agg(F.sum(F.col("n") - 1).alias("met"))
     ranked = members.join(met, "id").select("key", F.struct("met", F.xxhash64("id").alias("h"), F.col("id").alias("hub")).alias("x"))
     hubs = ranked.groupBy("key").agg(F.max("x").alias("x")).select("key", "x.hub")
