@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duelframe.llm.text import blocks, run_hashes, stored_by, utf8
@@ -21,6 +21,8 @@ from duelframe.llm.text import blocks, run_hashes, stored_by, utf8
 BUCKETS = 1 << 16
 #: Words of the documents whose distinct words are listed together.
 CHUNK_WORDS = 3 << 19
+#: Words of the documents that are written out together; a longer document is alone.
+GROUP_WORDS = 1 << 16
 #: Rank of a pair that is no token.
 NONE = (1 << 31) - 1
 #: A slice length beyond any word's.
@@ -33,16 +35,19 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """A literal array of small maps from token to rank; a token stands in the map that its CRC-32 names.
+def rank_table(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
+    """One row with ``ranks``, an array of small maps from token to rank; a token stands in the map that its CRC-32 names.
 
-    Tokens are strings of one character a byte (ISO 8859-1), so that JSON can carry them and characters are bytes.
+    Tokens are strings of one character a byte (ISO 8859-1), so that JSON can carry them and characters are bytes. As a
+    row it can be broadcast: an executor holds it once, where a literal is in every plan, in every plan's text and in
+    every task once for each place that names it.
     """
     maps: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
     for token, rank in ranks.items():
         name = token.decode("latin-1")
         maps[zlib.crc32(name.encode("utf-8")) % BUCKETS][name] = rank
-    return F.from_json(F.lit(json.dumps(maps, separators=(",", ":"))), "array<map<string,int>>")
+    rows = spark.createDataFrame(pa.table({"ranks": [json.dumps(maps, separators=(",", ":"))]}))
+    return rows.select(F.from_json("ranks", "array<map<string,int>>").alias("ranks"))
 
 
 def _bound(value: Column, use) -> Column:
@@ -50,37 +55,34 @@ def _bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def encoded(words: str, ranks: dict[bytes, int]) -> Column:
-    """Token ids of each word of an array column, a fold over the word's bytes.
+def encoded(words: str, table: str) -> Column:
+    """Token ids of each word of an array column by the column of a ``rank_table``, a fold over the word's bytes.
 
     A word that is a token is its own id. Otherwise the state is the list of pieces, for every two neighbours the
-    rank of both together, and the place of the leftmost least rank, 0 if no pair is a token. Each step joins that
-    pair and looks up the two new neighbours only; the fold has as many steps as there are bytes.
+    rank of both together, with ``NONE`` before the first piece and behind the last, and the place of the leftmost least
+    rank, 0 if no pair is a token. Each step joins that pair and looks up the two new neighbours only; the fold has as
+    many steps as there are bytes.
     """
-    table = rank_map(ranks)
-    rank = lambda x: F.coalesce(F.element_at(F.get(table, (F.crc32(x) % BUCKETS).cast("int")), x), F.lit(NONE))
+    rank = lambda x: F.coalesce(F.element_at(F.get(F.col(table), (F.crc32(x) % BUCKETS).cast("int")), x), F.lit(NONE))
 
     def state(pieces: Column, found: Column) -> Column:
-        least = lambda low, r: F.when(low == NONE, 0).otherwise(F.array_position(r, low)).cast("int")
-        fields = lambda x: F.struct(x.p.alias("p"), x.r.alias("r"), F.coalesce(_bound(F.array_min(x.r), lambda low: least(low, x.r)), F.lit(0)).alias("at"))
-        return _bound(F.struct(pieces.alias("p"), found.alias("r")), fields)
+        at = lambda x: _bound(F.array_min(x.r), lambda low: F.when(low == NONE, 0).otherwise(F.array_position(x.r, low)).cast("int"))
+        return _bound(F.struct(pieces.alias("p"), found.alias("r")), lambda x: F.struct(x.p.alias("p"), x.r.alias("r"), at(x).alias("at")))
 
     def merge(s: Column) -> Column:
-        def joined(x: Column) -> Column:
-            left = F.when(s.at > 1, F.concat(F.get(s.p, s.at - 2), x))
-            right = F.concat(x, F.get(s.p, s.at + 1))  # null at the end of the word
-            near = F.transform(F.filter(F.array(left, right), lambda y: y.isNotNull()), rank)
+        def joined(x: Column) -> Column:  # beside the ends of the word there is a null, which has no rank
+            near = F.array(rank(F.concat(F.get(s.p, s.at - 3), x)), rank(F.concat(x, F.get(s.p, s.at))))
             return state(
-                F.concat(F.slice(s.p, F.lit(1), s.at - 1), F.array(x), F.slice(s.p, s.at + 2, F.lit(REST))),
-                F.concat(F.slice(s.r, F.lit(1), F.greatest(s.at - 2, F.lit(0))), near, F.slice(s.r, s.at + 2, F.lit(REST))),
+                F.concat(F.slice(s.p, F.lit(1), s.at - 2), F.array(x), F.slice(s.p, s.at + 1, F.lit(REST))),
+                F.concat(F.slice(s.r, F.lit(1), s.at - 2), near, F.slice(s.r, s.at + 2, F.lit(REST))),
             )
 
-        return _bound(F.concat(F.get(s.p, s.at - 1), F.get(s.p, s.at)), joined)
+        return _bound(F.concat(F.get(s.p, s.at - 2), F.get(s.p, s.at - 1)), joined)
 
     def fold(word: Column) -> Column:
         def started(letters: Column) -> Column:
             pairs = F.zip_with(F.slice(letters, F.lit(1), F.size(letters) - 1), F.slice(letters, F.lit(2), F.lit(REST)), lambda a, b: rank(F.concat(a, b)))
-            return state(letters, pairs)
+            return state(letters, F.concat(F.array(F.lit(NONE)), pairs, F.array(F.lit(NONE))))
 
         step = lambda s, i: F.when(s.at == 0, s).otherwise(merge(s))
         return F.aggregate(F.sequence(F.lit(1), F.length(word)), _bound(F.split(word, ""), started), step, lambda s: F.transform(s.p, rank))
@@ -90,7 +92,7 @@ def encoded(words: str, ranks: dict[bytes, int]) -> Column:
 
 
 _CHUNK = "chunk long, doc_ids array<bigint>, sizes array<int>, places binary, lengths binary, letters binary"
-_PIECE = "bucket long, chunk long, lengths binary, letters binary"
+_PIECE = "bucket long, chunk long, size int, lengths binary, letters binary"
 _BUCKET = "bucket long, chunks array<bigint>, sizes array<int>, places binary, words array<string>"
 _ENCODED = "bucket long, chunk long, size int, counts binary, ids binary"
 _RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -102,17 +104,24 @@ def _column(values, kind: pa.DataType) -> pa.Array:
     return pa.array(values, kind)
 
 
+def _shrunk(data: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=3).compress(data, asbytes=True) if data else b""
+
+
+def _grown(data: bytes, count: int) -> bytes:
+    """The ``count`` bytes that ``_shrunk`` was given."""
+    return pa.Codec("zstd").decompress(data, count, asbytes=True) if count else b""
+
+
 def _squeezed(numbers: np.ndarray) -> bytes:
     """Whole numbers of 32 bits, compressed byte place by byte place."""
     planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return pa.Codec("zstd").compress(planes.tobytes(), asbytes=True) if len(numbers) else b""
+    return _shrunk(planes.tobytes())
 
 
 def _restored(data: bytes, count: int) -> np.ndarray:
     """The ``count`` numbers that ``_squeezed`` was given."""
-    if not count:
-        return np.zeros(0, np.int32)
-    planes = np.frombuffer(pa.Codec("zstd").decompress(data, 4 * count, asbytes=True), np.uint8).reshape(4, count)
+    planes = np.frombuffer(_grown(data, 4 * count), np.uint8).reshape(4, count)
     return np.ascontiguousarray(planes.T).view("<i4").reshape(-1)
 
 
@@ -145,18 +154,23 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in blocks(ends, CHUNK_WORDS):
             part = batch.slice(i, j - i)
             coded = part.column(1).flatten().dictionary_encode()
-            data, offsets = utf8(coded.dictionary)
+            places = coded.indices.to_numpy(zero_copy_only=False)
+            often = np.argsort(-np.bincount(places, minlength=len(coded.dictionary)), kind="stable")  # low places are the frequent ones
+            place = np.empty(len(often), np.int32)
+            place[often] = np.arange(len(often), dtype=np.int32)
+            places = place[places]
+            data, offsets = utf8(coded.dictionary.take(pa.array(often)))
             columns = [
                 _column([chunk], pa.int64()),
                 wrap(part.column(0)),
                 wrap(_column(np.diff(ends[i : j + 1]), pa.int32())),
-                _column([_squeezed(coded.indices.to_numpy(zero_copy_only=False))], pa.binary()),
+                _column([_squeezed(places)], pa.binary()),
                 _column([np.diff(offsets).astype(np.int32).tobytes()], pa.binary()),
                 _column([data.tobytes()], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["chunk", "doc_ids", "sizes", "places", "lengths", "letters"])
             chunk += 1
-            del part, coded, data, columns
+            del part, coded, places, data, columns
             pa.default_memory_pool().release_unused()  # a worker is kept for later tasks
 
 
@@ -173,10 +187,11 @@ def _pieces(count: int):
                 sizes, data = np.diff(offsets).astype(np.int32), data.tobytes()
                 named, first = np.unique(bucket[order], return_index=True)
                 edges = np.append(first, len(order))
-                cut = lambda k: (sizes[edges[k] : edges[k + 1]].tobytes(), data[offsets[edges[k]] : offsets[edges[k + 1]]])
+                cut = lambda k: (_squeezed(sizes[edges[k] : edges[k + 1]]), _shrunk(data[offsets[edges[k]] : offsets[edges[k + 1]]]))
                 parts = [cut(k) for k in range(len(named))]
-                columns = [_column(named, pa.int64()), _column([chunk] * len(named), pa.int64()), *[_column([x[c] for x in parts], pa.binary()) for c in (0, 1)]]
-                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "chunk", "lengths", "letters"])
+                packed = [_column([x[c] for x in parts], pa.binary()) for c in (0, 1)]
+                columns = [_column(named, pa.int64()), _column([chunk] * len(named), pa.int64()), _column(np.diff(edges), pa.int32()), *packed]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "chunk", "size", "lengths", "letters"])
                 pa.default_memory_pool().release_unused()
 
     return run
@@ -199,13 +214,14 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     held, own = [], None
     for batch in batches:
-        for bucket, chunk, lengths, letters in zip(*(c.to_pylist() for c in batch.columns)):
+        for bucket, chunk, size, lengths, letters in zip(*(c.to_pylist() for c in batch.columns)):
             if held and bucket != own:
                 yield row(own, held)
                 held = []
                 pa.default_memory_pool().release_unused()
             own = bucket
-            held.append((chunk, _words(lengths, letters)))
+            sizes = _restored(lengths, size)
+            held.append((chunk, _words(sizes.tobytes(), _grown(letters, int(sizes.sum())))))
     if held:
         yield row(own, held)
 
@@ -259,14 +275,18 @@ def _written(vocabulary: list[bytes], count: int):
                 counts = np.concatenate([np.zeros(0, np.int32), *counts])
                 starts = np.concatenate(([0], np.cumsum(counts, dtype=np.int64)))
                 names = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat).cast(pa.string())), " ")
-                edges = np.concatenate(([0], np.cumsum(sizes)))
+                edges = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
                 out = []
-                for a, b in zip(edges[:-1], edges[1:]):
-                    own = places[a:b]
-                    ids = flat[_runs(starts[own], counts[own])]
-                    text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, b - a], pa.int32()), names.take(pa.array(own))), " ")[0].as_py()
-                    data = pieces.take(pa.array(ids)).buffers()[2]  # the pieces one after the other
-                    out.append((len(ids), sha256(text.encode()).hexdigest(), sha256(data if data is not None else b"").hexdigest()))
+                for i, j in blocks(edges, GROUP_WORDS):
+                    own = places[edges[i] : edges[j]]
+                    by_word = counts[own]
+                    ids = flat[_runs(starts[own], by_word)]
+                    cuts = edges[i : j + 1] - edges[i]
+                    text, ends = utf8(pc.binary_join(pa.LargeListArray.from_arrays(pa.array(cuts), names.take(pa.array(own))), " "))
+                    data, begins = utf8(pieces.take(pa.array(ids)))
+                    of = np.concatenate(([0], np.cumsum(by_word)))[cuts]
+                    for k, (a, b) in enumerate(zip(of[:-1], of[1:])):
+                        out.append((b - a, sha256(text[ends[k] : ends[k + 1]]).hexdigest(), sha256(data[begins[a] : begins[b]]).hexdigest()))
                 columns = [doc_ids, pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.string()), pa.array([x[2] for x in out], pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
                 pa.default_memory_pool().release_unused()
@@ -292,7 +312,8 @@ def encoded_documents(documents: DataFrame, ranks_path: str, pattern: str) -> Da
     count = max(1, SPREAD * chunks.count())
     pieces = chunks.select("chunk", "lengths", "letters").mapInArrow(_pieces(count), _PIECE)
     buckets = pieces.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_buckets, _BUCKET)
-    ids = buckets.withColumn("words", encoded("words", ranks)).mapInArrow(_dealt_back, _ENCODED)
+    ranked = buckets.crossJoin(F.broadcast(rank_table(documents.sparkSession, ranks)))
+    ids = ranked.withColumn("words", encoded("words", "ranks")).drop("ranks").mapInArrow(_dealt_back, _ENCODED)
     ids = ids.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "size", "counts", "ids"))).alias("listed"))
     return chunks.join(ids, "chunk", "left").select("doc_ids", "sizes", "places", "lengths", "letters", "listed").mapInArrow(_written(vocabulary, count), _RESULT)
 

@@ -67,6 +67,12 @@ def test_bpe_equals_the_library(spark, corpus, documents):
     assert bpe.encoded_documents(empty(spark), path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_ranks_are_in_no_plan(spark, documents):
+    """A literal of them fills a driver, for every plan is kept as text, and is unpacked by every task."""
+    found = bpe.encoded_documents(documents, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert len(found._jdf.queryExecution().toString()) < 100_000
+
+
 def test_repeated_strings(spark, corpus, documents):
     got = {r.doc_id: tuple(r)[1:] for r in suffix.without_repeats(documents).collect()}
     assert got == plain.without_repeats(corpus)
