@@ -26,6 +26,8 @@ from duelframe.session import dropped, stage
 
 #: Matches of one group that a task folds, some 60 bytes each.
 TASK_ROWS = 500_000
+#: Matches that are Python objects at once while a group is folded.
+WALKED = 1 << 14
 _ORDER = ["match_datetime", "home_team", "away_team", "match_id"]
 _OUT = "match_id bigint, elo_home double, elo_away double, team string, elo double"
 
@@ -36,28 +38,42 @@ def _key(team: str) -> Column:
 
 
 def _fold(k: float, advantage: float, start: float):
-    """Ratings before each match of a group in order, then a row for each entity with its rating after the last."""
+    """Ratings before each match of a group in order, then a row for each entity with its rating after the last.
+
+    Entities are numbers and matches are walked ``WALKED`` at a time, so that a match never stands as Python objects for
+    longer than its portion.
+    """
 
     def run(matches: pa.Table, state: pa.Table | None = None) -> pa.Table:
         order = [(c, "ascending") for c in _ORDER]
-        matches = matches.take(pc.sort_indices(matches.select(_ORDER), sort_keys=order, null_placement="at_start"))
-        rating = dict(zip(state.column("team").to_pylist(), state.column("elo").to_pylist())) if state is not None else {}
-        homes, aways, actual = (matches.column(c).to_pylist() for c in ("home", "away", "actual"))
-        before = np.empty((2, len(homes)))
-        for n, (h, a, s) in enumerate(zip(homes, aways, actual)):
-            own, other = rating.get(h, start), rating.get(a, start)
-            before[:, n] = own, other
-            gain = 0.0 if s is None else k * (s - 1.0 / (1.0 + 10.0 ** ((other - own - advantage) / 400.0)))
-            rating[h] = rating.get(h, start) + gain
-            rating[a] = rating.get(a, start) - gain
-        n, m = len(homes), len(rating)
+        at = pc.sort_indices(matches.select(_ORDER), sort_keys=order, null_placement="at_start")
+        matches = matches.select(["match_id", "home", "away", "actual"]).take(at)
+        known = [] if state is None else state.column("team").chunks
+        names = pa.chunked_array([*matches.column("home").chunks, *matches.column("away").chunks, *known], pa.string())
+        names = names.combine_chunks().dictionary_encode()
+        n, m = matches.num_rows, len(names.dictionary)
+        places = names.indices.to_numpy(zero_copy_only=False)
+        homes, aways = places[:n], places[n : 2 * n]
+        rating = [start] * m
+        for team, elo in zip(places[2 * n :].tolist(), [] if state is None else state.column("elo").to_pylist()):
+            rating[team] = elo
+        before = np.empty((2, n))
+        for i in range(0, n, WALKED):
+            found = []
+            for h, a, s in zip(homes[i : i + WALKED].tolist(), aways[i : i + WALKED].tolist(), matches.column("actual").slice(i, WALKED).to_pylist()):
+                own, other = rating[h], rating[a]
+                found.append((own, other))
+                gain = 0.0 if s is None else k * (s - 1.0 / (1.0 + 10.0 ** ((other - own - advantage) / 400.0)))
+                rating[h] += gain
+                rating[a] -= gain
+            before[:, i : i + WALKED] = np.array(found).T
         return pa.table(
             {
                 "match_id": pa.concat_arrays([matches.column("match_id").combine_chunks().cast(pa.int64()), pa.nulls(m, pa.int64())]),
-                "elo_home": pa.array([*before[0], *[None] * m], pa.float64()),
-                "elo_away": pa.array([*before[1], *[None] * m], pa.float64()),
-                "team": pa.array([*[None] * n, *rating], pa.string()),
-                "elo": pa.array([*[None] * n, *rating.values()], pa.float64()),
+                "elo_home": pa.concat_arrays([pa.array(before[0]), pa.nulls(m, pa.float64())]),
+                "elo_away": pa.concat_arrays([pa.array(before[1]), pa.nulls(m, pa.float64())]),
+                "team": pa.concat_arrays([pa.nulls(n, pa.string()), names.dictionary]),
+                "elo": pa.concat_arrays([pa.nulls(n, pa.float64()), pa.array(rating, pa.float64())]),
             }
         )
 

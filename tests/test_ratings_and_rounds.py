@@ -1,5 +1,8 @@
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,3 +119,24 @@ def test_no_row_is_lost_without_season_or_date(matches_of):
     whole = ratings(elo.elo_ratings(undated))
     assert len(whole) == df.count()
     close(ratings(elo.elo_ratings(undated, task_rows=12)), whole)
+
+
+def test_a_fold_holds_few_bytes_a_match():
+    n = 100_000
+    at = np.arange(n)
+    matches = pa.table(
+        {
+            "match_datetime": pa.array(at, pa.int64()),
+            **{c: pa.array([f"={x}" for x in at * step % 997], pa.string()) for c, step in (("home_team", 3), ("away_team", 5))},
+            "match_id": pa.array(at, pa.int64()),
+            **{c: pa.array([f"={x}" for x in at * step % 997], pa.string()) for c, step in (("home", 3), ("away", 5))},
+            "actual": pa.array(at % 3 / 2, pa.float64()),
+        }
+    )
+    fold = elo._fold(20.0, 60.0, 1500.0)
+    tracemalloc.start()
+    try:
+        assert fold(matches).num_rows == n + 997
+        assert tracemalloc.get_traced_memory()[1] < 100 * n
+    finally:
+        tracemalloc.stop()
