@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from duelframe.llm.text import blocks, run_hashes, stored_by, utf8
 
-#: Buckets of the literal rank map; a bucket holds about one entry, so a look-up reads one or two keys.
+#: Buckets of the rank map; a bucket holds about one entry, so a look-up reads one or two keys.
 BUCKETS = 1 << 16
 #: Words of the documents whose distinct words are listed together.
 CHUNK_WORDS = 3 << 19
