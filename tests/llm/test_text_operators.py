@@ -186,6 +186,58 @@ def test_lines_alike_by_edit_similarity_alone(spark, low, high, one, some):
         assert sum(r.n_removed for r in lines.deduplicated(df).collect()) >= least * len(pairs)
 
 
+def test_edit_distance_of_many_pairs():
+    """Portions of pairs agree with the plain distance, and two bits a character never drop a pair that is near enough."""
+    import numpy as np
+    import pyarrow as pa
+
+    from duelframe.llm import edit_bits
+
+    rng = random.Random(4)
+    some = lambda n: "".join(rng.choice("abc eé中😀") for _ in range(n))
+    pairs = [("", ""), ("", "a"), ("é", "é")]
+    for n in [1, 5, 63, 64, 65, 130, 200] * 8:
+        text = some(n)
+        changed = list(text)
+        for _ in range(rng.randint(0, n // 3 + 1)):
+            i = rng.randint(0, len(changed))
+            changed[i : i + rng.randint(0, 1)] = some(rng.randint(0, 1))
+        pairs += [(text, "".join(changed)), (text, some(n))]
+    left, right = (pa.array(x) for x in zip(*pairs))
+    most = np.array([int(max(len(a), len(b)) * 0.2 + 1e-9) for a, b in pairs])
+    want = np.array([plain.edit_distance(a, b) for a, b in pairs]) <= most
+    assert 20 < want.sum() < len(pairs) - 20
+    assert (edit_bits.within(left, right, 0.2) == want).all()
+    held, planes = edit_bits.two_bits(pa.concat_arrays([left, right]), 180)
+    words = [edit_bits.as_words(edit_bits.utf8(x)[0], (np.where(held <= 180, held, 0) + 7) // 8) for x in planes]
+    at = np.arange(len(pairs))
+    inside = np.maximum(held[: len(pairs)], held[len(pairs) :]) <= 180
+    may = edit_bits.may_reach([w for w, _ in words], words[0][1], held, at[inside], at[inside] + len(pairs), most[inside])
+    assert not (want[inside] & ~may).any() and not may.all()
+
+
+def test_unlike_lines_with_frequent_pieces_leave_their_buckets(spark):
+    """Lines that share MinHashes because of frequent pieces alone reach no join, and near copies still do."""
+    rng = random.Random(6)
+    words = [prose(rng, 1).lower() * 3 for _ in range(25)]
+    unlike = [" ".join(rng.choice(words) for _ in range(30)) for _ in range(300)]
+    near = [unlike[0] + f" {x}" for x in "abcdefgh"]
+    forms = spark.createDataFrame(list(enumerate(unlike + near)), "id long, norm string")
+    found = {r.id for r in lines._members(forms).collect()}
+    assert found >= {0, *range(300, 308)} and len(found) < 40
+
+
+def test_normalised_lines_with_every_kind_of_character(spark):
+    rng = random.Random(7)
+    letters = [chr(c) for c in range(1, 0x260)] + list("\n\n\n\n   abcé١²½ªßŸẞΣς中😀")
+    docs = [(i, "".join(rng.choice(letters if i % 2 else letters[8:0x12F]) for _ in range(rng.randint(0, 120)))) for i in range(300)]
+    docs += [(900, ""), (901, "\n"), (902, None), (None, "a b"), (903, "\n\na\n"), (904, " ")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = df.where("doc_id is not null and text is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "norm"))
+    want = want.select("doc_id", "line", lines.normalised(F.col("norm")).alias("norm")).where("norm <> ''")
+    assert sorted(map(tuple, lines._lines(df).select("doc_id", "line", "norm").collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_lines_of_the_pipeline_stage(spark):
     df = spark.createDataFrame([(1, "Alpha beta gamma.\nDelta", 23, "s"), (2, "alpha, BETA gamma", 17, "s"), (3, "", 0, "s"), (4, "Delta\nnew", 9, None), (None, "Delta", 5, "s")], "doc_id long, text string, n_chars long, source string")
     got = sorted((r.doc_id or -1, r.text, r.n_chars) for r in lines.with_lines_left(df).collect())
